@@ -16,6 +16,11 @@ def clean_utf8(c) -> Column:
     return F.replace(F.make_valid_utf8(_col(c)), F.lit("�"), F.lit(""))
 
 
+def line_field(line, position: int) -> Column:
+    """Field of a line by position, without splitting what follows it."""
+    return F.substring_index(F.substring_index(_col(line), FIELD_SEPARATOR, position + 1), FIELD_SEPARATOR, -1)
+
+
 def record_key(line) -> Column:
     """First field of a line: the key under which it is published."""
     return F.substring_index(_col(line), FIELD_SEPARATOR, 1)

@@ -15,7 +15,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from namewire.operators.names import name_counts, names_by_date  # noqa: E402
-from namewire.operators.ranking import top_names  # noqa: E402
+from namewire.operators.rows import row_quality  # noqa: E402
 from namewire.plans.daily import daily_top_names  # noqa: E402
 from namewire.plans.registry import QUERIES  # noqa: E402
 from namewire.operators.event_time import assign_event_time  # noqa: E402
@@ -47,13 +47,13 @@ def main() -> None:
         return daily_top_names(read_articles(spark, files), **options)
 
     runs = {
+        "row_quality_from_files": lambda: row_quality(read_articles(spark, files)),
         "top_names_from_files": lambda: from_files(),
         "top_names_with_ties_from_files": lambda: from_files(ties=True),
         "name_counts_from_files": lambda: name_counts(names_by_date(read_articles(spark, files))),
         "event_time_from_files": lambda: assign_event_time(read_placed_lines(spark, files), consecutive=True),
         **{name: (lambda q=QUERIES[name]: q(spark, folder)) for name in TABLE_QUERIES},
     }
-    top_names(name_counts(names_by_date(read_articles(spark, files).limit(1000)))).collect()
     seconds = {}
     for name, make in runs.items():
         began = time.perf_counter()

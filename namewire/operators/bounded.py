@@ -14,30 +14,30 @@ def _buffer(capacity: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.Dat
     """Replays sorted (bucket, is_update, seq, name, cnt) rows; memory is one buffer."""
 
     def replay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bucket, held, least = None, {}, None
+        bucket, held, least, step = None, {}, None, 0
         for batch in batches:
             out = []
             for b, is_update, seq, name, cnt in zip(
                 batch["bucket"], batch["is_update"], batch["seq"], batch["name"], batch["cnt"]
             ):
                 if b != bucket:
-                    bucket, held, least = b, {}, None
+                    bucket, held, least, step = b, {}, None, 0
                 if not is_update:
                     held[name] = cnt
                     continue
-                step = 0
                 if name not in held and len(held) >= capacity:
                     if least is None:
                         least = min(held.items(), key=lambda e: (e[1], e[0]))
                     if cnt <= least[1]:
                         continue
                     del held[least[0]]
-                    out.append((b, seq, step, least[0], 0))
-                    step = 1
+                    out.append((b, seq, step, least[0], 0, True))
+                    step += 1
                 held[name] = cnt
                 least = None
-                out.append((b, seq, step, name, cnt))
-            yield pd.DataFrame(out, columns=["bucket", "seq", "step", "name", "cnt"])
+                out.append((b, seq, step, name, cnt, False))
+                step += 1
+            yield pd.DataFrame(out, columns=["bucket", "seq", "step", "name", "cnt", "evicted"])
 
     return replay
 
@@ -45,12 +45,12 @@ def _buffer(capacity: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.Dat
 def bounded_topk(
     updates: DataFrame, state: DataFrame | None = None, capacity: int = CAPACITY, buckets: int = 1,
 ) -> DataFrame:
-    """Changelog (bucket, seq, step, name, cnt) of a buffer of ``capacity`` names a bucket.
+    """Changelog (bucket, seq, step, name, cnt, evicted) of a buffer of ``capacity`` names a bucket.
 
     A known name takes its new count; a new one enters while there is room, or else
     replaces the least count if it is strictly greater, and the replaced name gets
     a 0. Of equal least counts the first name goes. ``state`` (name, cnt) is the
-    buffer before the updates.
+    buffer before the updates. ``step`` numbers the changes of a bucket.
 
     Updates (seq, name, cnt) are applied in ``seq`` order (then by name), one bucket after the other
     in a sorted stream of Arrow batches: a task holds one buffer, however many
@@ -67,5 +67,15 @@ def bounded_topk(
         rows.withColumn("bucket", bucket)
         .repartition(buckets, "bucket")
         .sortWithinPartitions("bucket", "is_update", "seq", "name")
-        .mapInPandas(_buffer(capacity), "bucket int, seq bigint, step int, name string, cnt bigint")
+        .mapInPandas(_buffer(capacity), "bucket int, seq bigint, step bigint, name string, cnt bigint, evicted boolean")
     )
+
+
+def buffer_state(changes: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """The buffer (name, cnt) after the changes; a name that was given a 0 is still in it."""
+    log = changes.select("name", "cnt", "evicted", "step")
+    if before is not None:
+        log = before.select("name", "cnt", F.lit(False).alias("evicted"),
+                            F.lit(-1).cast("bigint").alias("step")).unionByName(log)
+    last = F.max_by(F.struct("cnt", "evicted"), F.col("step"))
+    return log.groupBy("name").agg(last.alias("_last")).where("not _last.evicted").select("name", "_last.cnt")

@@ -8,8 +8,11 @@ from namewire.schema import FIRST_KEY
 
 
 def fold_changelog(log: DataFrame, seq: str | list[str] = "seq", keep_deleted: bool = False) -> DataFrame:
-    """Current state: the last count of each name, without the deleted names."""
-    order = F.struct(*([seq] if isinstance(seq, str) else seq))
+    """Current state: the last count of each name, without the deleted names.
+
+    A single numeric ``seq`` keeps this a hash aggregation; several columns sort.
+    """
+    order = F.col(seq) if isinstance(seq, str) else F.struct(*seq)
     state = log.groupBy("name").agg(F.max_by("cnt", order).alias("cnt"))
     return state if keep_deleted else state.where("cnt <> 0")
 

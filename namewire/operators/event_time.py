@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from namewire.functions.text import record_key
 from namewire.functions.times import segment_start
 from namewire.operators.sizing import lookup_join
 from namewire.schema import SEGMENT_MINUTES
@@ -22,11 +21,13 @@ def assign_event_time(
     a subtraction; otherwise it is ranked inside the block.
 
     The start comes from the record id of the file's first line; seconds are ignored.
+    It travels as the number yyyyMMddHHmm, which keeps the block summary a hash
+    aggregation.
     """
     blocks = lines.groupBy("file", "block").agg(
         F.count("*").alias("_lines"),
         F.min("line_id").alias("_first_id"),
-        F.min_by(record_key(value), F.col("line_id")).alias("_first_key"),
+        F.min_by(F.substring(value, 1, 12).try_cast("bigint"), F.col("line_id")).alias("_first_minute"),
     )
     in_file = Window.partitionBy("file")
     before = in_file.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
@@ -34,7 +35,7 @@ def assign_event_time(
         "file", "block", "_first_id",
         F.coalesce(F.sum("_lines").over(before), F.lit(0).cast("bigint")).alias("_offset"),
         F.sum("_lines").over(in_file).alias("_total"),
-        F.first("_first_key").over(in_file.orderBy("block")).alias("_file_key"),
+        F.first("_first_minute").over(in_file.orderBy("block")).alias("_file_minute"),
     )
     if consecutive:
         spots = lookup_join(lines, placed, ["file", "block"])
@@ -44,9 +45,9 @@ def assign_event_time(
         spots = lines.withColumn("_rank", rank - 1).join(placed, ["file", "block"])
         in_block = F.col("_rank")
     step = F.floor(F.lit(minutes * 60_000).cast("bigint") / F.col("_total"))
-    start = F.unix_millis(segment_start("_file_key"))
+    start = F.unix_millis(segment_start(F.col("_file_minute").cast("string")))
     return (
         spots.withColumn("position", F.col("_offset") + in_block)
         .withColumn("event_time", F.timestamp_millis(start + F.col("position") * step))
-        .drop("_offset", "_total", "_file_key", "_first_id", "_rank")
+        .drop("_offset", "_total", "_file_minute", "_first_id", "_rank")
     )

@@ -19,9 +19,10 @@ def knot_segments(
         *by, F.col(x).cast("double").alias("x0"), F.col(y).cast("double").alias("y0"),
         F.floor(F.col(x) / F.lit(float(width))).alias("_block"),
     )
-    heads = blocks.groupBy(*by, "_block").agg(F.min_by(F.struct("x0", "y0"), F.col("x0")).alias("_head"))
+    heads = blocks.groupBy(*by, "_block").agg(F.min("x0").alias("_x"), F.min_by("y0", "x0").alias("_y"))
+    head = F.struct(F.col("_x").alias("x0"), F.col("_y").alias("y0"))
     next_heads = heads.select(
-        *by, "_block", F.lead("_head").over(Window.partitionBy(*by).orderBy("_block")).alias("_next")
+        *by, "_block", F.lead(head).over(Window.partitionBy(*by).orderBy("_block")).alias("_next")
     )
     inside = F.lead(F.struct("x0", "y0")).over(Window.partitionBy(*by, "_block").orderBy("x0"))
     own = F.struct("x0", "y0")

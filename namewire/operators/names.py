@@ -39,7 +39,8 @@ def drop_names(rows: DataFrame, stop_list: DataFrame, name: str = "name") -> Dat
 
     Cheapest after counting, when each name is one row a day.
     """
-    return lookup_join(rows, stop_list.select(name).distinct(), name, "left_anti")
+    kept = lookup_join(rows, stop_list.select(name).distinct(), name, "left_anti")
+    return kept.select(*rows.columns)
 
 
 def name_counts(

@@ -29,9 +29,9 @@ def region_digit(zone) -> Column:
     return F.substring(text, F.length(text) - 1, F.lit(1))
 
 
-def latest_price(prices: DataFrame, order: list[str] | None = None, by: list[str] | None = None) -> DataFrame:
-    """Last known price per (instance_type, zone)."""
-    latest = F.max_by("price", F.struct(*(order or ["ts"])))
+def latest_price(prices: DataFrame, order: str | list[str] = "ts", by: list[str] | None = None) -> DataFrame:
+    """Last known price per (instance_type, zone); more ``order`` columns settle equal times."""
+    latest = F.max_by("price", F.col(order) if isinstance(order, str) else F.struct(*order))
     return prices.groupBy(*(by or ["instance_type", "zone"])).agg(latest.alias("price"))
 
 

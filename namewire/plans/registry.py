@@ -420,7 +420,7 @@ def latest_price(spark, d):
 
 
 def _latest(spark: SparkSession, d: str) -> DataFrame:
-    return prices.latest_price(tables.prices(spark, d), order=["ts", "event_id"])
+    return prices.latest_price(tables.prices(spark, d))
 
 
 @query(f"with {oracle.CHEAPEST} select instance_type, zone, min_price from cheapest")

@@ -33,9 +33,11 @@ def snapshot_and_delta(log: DataFrame, at: Column, seq: str = "seq") -> tuple[Da
 def json_message(updates: DataFrame, by: list[str], max_entries: int = 1000) -> DataFrame:
     """Updates as JSON array messages of {name, count}, names in order.
 
-    Messages hold about ``max_entries`` updates; a key with more has several.
+    Messages hold about ``max_entries`` updates; a key with more has several. Updates
+    are counted by ``cnt``, so that both sides of the join share an exchange below.
     """
-    sizes = updates.groupBy(*by).agg(F.ceil(F.count("*") / F.lit(max_entries)).alias("_chunks"))
+    chunks = F.greatest(F.ceil(F.count("cnt") / F.lit(max_entries)), F.lit(1))
+    sizes = updates.groupBy(*by).agg(chunks.alias("_chunks"))
     entry = F.struct("name", F.col("cnt").alias("count"))
     return (
         updates.join(sizes, by)

@@ -60,10 +60,11 @@ def name_count_maps(counts: DataFrame, max_entries: int = 10_000) -> DataFrame:
 
     A day of many names is several rows: no task holds a whole day. The broadcast
     side has one row per calendar day (see ``publish_day``), so at most 3.7 million
-    small rows; both sides read the same exchange of counts.
+    small rows. It counts by ``cnt``, which is never 0, so that both sides need the same
+    columns and share one exchange of counts.
     """
     sizes = counts.groupBy("publish_date").agg(
-        F.ceil(F.count("*") / F.lit(max_entries)).alias("_chunks")
+        F.ceil(F.count_if(F.col("cnt") > 0) / F.lit(max_entries)).alias("_chunks")
     )
     return (
         counts.join(F.broadcast(sizes), "publish_date")

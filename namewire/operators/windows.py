@@ -67,16 +67,26 @@ def newest_counts(
     events: DataFrame, ts: str = "ts", name: str = "name", as_of: Column | None = None,
     complete: bool = True, size: int = HOUR, slide: int = MINUTE,
 ) -> DataFrame:
-    """Counts of the newest window straight from events, reading that window only."""
-    if as_of is None:
-        as_of = events.select(F.max(ts)).scalar()
-    end = newest_window_end(as_of, complete, size, slide)
+    """Counts of the newest window straight from events, reading that window only.
+
+    The bounds are plain subquery values, so the scan skips what lies outside them.
+    """
     kind = events.schema[ts].dataType.simpleString()
-    start = F.timestamp_seconds(F.unix_seconds(end) - size)
-    inside = events.where((F.col(ts) >= start.cast(kind)) & (F.col(ts) < end.cast(kind)))
+    if as_of is None:
+        clock = events.select(F.max(ts).alias("_as_of"))
+    else:
+        clock = events.sparkSession.range(1).select(as_of.alias("_as_of"))
+    end = newest_window_end(F.col("_as_of"), complete, size, slide)
+    bounds = clock.select(end.alias("_end")).select(
+        F.timestamp_seconds(F.unix_seconds("_end") - size).cast(kind).alias("start"),
+        F.col("_end").cast(kind).alias("end"),
+    )
+    start, end = bounds.select("start").scalar(), bounds.select("end").scalar()
     return (
-        inside.groupBy(F.col(name).alias("name")).agg(F.count("*").alias("cnt"))
-        .select(start.alias("window_start"), end.alias("window_end"), "name", "cnt")
+        events.where((F.col(ts) >= start) & (F.col(ts) < end))
+        .groupBy(F.col(name).alias("name")).agg(F.count("*").alias("cnt"))
+        .select(start.cast("timestamp").alias("window_start"), end.cast("timestamp").alias("window_end"),
+                "name", "cnt")
     )
 
 

@@ -561,10 +561,8 @@ def _drain(spark: SparkSession, updates: DataFrame, label: str) -> DataFrame:
 
 
 def _event_stream(spark: SparkSession, d: str) -> DataFrame:
-    events = tables.table(spark, d, "events")
-    raw = spark.read.parquet(f"{d}/events.parquet").schema
-    stream = spark.readStream.schema(raw).option("pathGlobFilter", "events.parquet").parquet(d)
-    return stream.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in events.schema])
+    schema = tables.table_schema(spark, f"{d}/events.parquet")
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
 
 
 @query(HOPPING)
@@ -575,6 +573,14 @@ def stream_hopping_counts(spark, d):
     return _printed(state)
 
 
+@query(HOPPING)
+def stream_minute_counts(spark, d):
+    events = _event_stream(spark, d).select("ts", F.col("event_type").alias("name"))
+    log = _drain(spark, live_mentions.live_minute_counts(events), "minutes")
+    slots = log.groupBy("window_start", "name").agg(F.max_by("cnt", "epoch").alias("cnt"))
+    return _printed(windows.hopping_counts(slots, "window_start", weight="cnt"))
+
+
 @query(TOP)
 def stream_daily_top_names(spark, d):
     folder = scratch_path(spark, "lines")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -15,20 +16,34 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot join key even where that costs one more exchange afterwards
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # a machine that is taken away hands its shuffle blocks on first
+    "spark.decommission.enabled": "true",
+    "spark.storage.decommission.enabled": "true",
+    "spark.storage.decommission.shuffleBlocks.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
-TARGET_PARTITION_BYTES = 128 << 20
+MIN_SPLIT_BYTES, MAX_SPLIT_BYTES = 128 << 20, 1 << 30
+SHUFFLE_BYTES = 256 << 20
+SHUFFLED_SHARE = 0.1
+TASKS_PER_CORE = 50
 
 
-def shuffle_partitions(input_bytes: int, cores: int) -> int:
-    """Partitions that keep a shuffle of the whole input near 128 MB a task.
+def sizing(input_bytes: int, cores: int) -> dict[str, str]:
+    """Split and shuffle sizes for a scan of ``input_bytes`` on ``cores``.
 
-    AQE merges what turns out small, so this errs on the many side.
+    About 50 scan tasks a core, of 128 MB to 1 GB each: larger splits combine more
+    mentions before the exchange. Partial counts are taken to be a tenth of the
+    input, in partitions of 256 MB; AQE merges what turns out small.
     """
-    return max(cores, -(-input_bytes // TARGET_PARTITION_BYTES))
+    split = min(max(input_bytes // (TASKS_PER_CORE * cores), MIN_SPLIT_BYTES), MAX_SPLIT_BYTES)
+    shuffled = math.ceil(input_bytes * SHUFFLED_SHARE / SHUFFLE_BYTES)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(max(cores, shuffled)),
+    }
 
 
 def build_session(
@@ -44,7 +59,7 @@ def build_session(
         builder = builder.master(master)
     settings = dict(SETTINGS)
     if input_bytes is not None:
-        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(input_bytes, cores))
+        settings.update(sizing(input_bytes, cores))
     settings.update(conf or {})
     for key, value in settings.items():
         builder = builder.config(key, value)

@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from namewire.functions.times import epoch_floor, segment_name
 from namewire.schema import JUNK_NAME
 from namewire.session import use_utc
 
 
+def table_schema(spark: SparkSession, path: str) -> T.StructType:
+    """Schema of a table, with its zoneless times as UTC timestamps.
+
+    Said in the schema rather than by a cast, time conditions reach the scan.
+    """
+    kinds = {T.TimestampNTZType(): T.TimestampType()}
+    return T.StructType([
+        T.StructField(f.name, kinds.get(f.dataType, f.dataType)) for f in spark.read.parquet(path).schema
+    ])
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A given table; its zoneless times are UTC."""
-    df = use_utc(spark).read.parquet(f"{folder}/{name}.parquet")
-    for field in df.schema:
-        if field.dataType.simpleString() == "timestamp_ntz":
-            df = df.withColumn(field.name, F.col(field.name).cast("timestamp"))
-    return df
+    """A given table."""
+    path = f"{folder}/{name}.parquet"
+    return use_utc(spark).read.schema(table_schema(spark, path)).parquet(path)
 
 
 def article_lines(spark: SparkSession, folder: str) -> DataFrame:

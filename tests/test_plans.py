@@ -10,7 +10,7 @@ from namewire.operators.names import name_counts, names_by_date
 from namewire.operators.ranking import top_names
 from namewire.operators.windows import hopping_counts, newest_counts
 from namewire.plans.registry import QUERIES
-from namewire.session import build_session, scratch_path, shared_root, shuffle_partitions
+from namewire.session import build_session, scratch_path, shared_root, sizing
 from namewire.sources.articles import read_articles
 from namewire.sources.tables import mentions, table
 
@@ -49,10 +49,28 @@ def test_hopping_exchanges_small_rows(spark, small):
     assert "sequence" in plan(counts)[:last] and "sequence" not in plan(counts)[last:]
 
 
-def test_newest_window_reads_two_columns(spark, small):
-    events = table(spark, small, "events").select("ts", F.col("event_type").alias("name"), "props")
-    text = plan(newest_counts(events))
-    assert "props" not in text and "value" not in text
+def test_newest_window_reads_what_it_needs(spark, small):
+    events = table(spark, small.replace("0.001", "0.01"), "events")
+    newest = newest_counts(events.withColumnRenamed("event_type", "name"))
+    newest.collect()
+    text = plan(newest)
+    assert "ReadSchema: struct<ts:timestamp,event_type:string>" in text
+    assert set(re.findall(r"ReadSchema: (\S+)", text)) == {
+        "struct<ts:timestamp,event_type:string>", "struct<ts:timestamp>"}
+    assert re.search(r"PushedFilters: \[[^]]*GreaterThanOrEqual\(ts", text)
+
+
+def test_price_conditions_reach_the_scan(spark, small):
+    kept = QUERIES["price_history"](spark, small)
+    kept.collect()
+    assert re.search(r"PushedFilters: \[[^]]*GreaterThanOrEqual\(ts", plan(kept))
+
+
+@pytest.mark.parametrize("name", ["name_count_maps", "update_messages", "top_names_per_day_with_ties"])
+def test_counts_are_made_once(spark, small, name):
+    result = QUERIES[name](spark, small)
+    result.collect()
+    assert "ReusedExchange" in plan(result)
 
 
 @pytest.mark.parametrize("name", sorted(q for q in QUERIES if not q.startswith(("stream_", "top_names_from", "written"))))
@@ -76,9 +94,11 @@ def test_hot_name_is_spread(spark):
     assert len(sizes) >= 3 and max(sizes) < 0.6 * sum(sizes)
 
 
-def test_shuffle_partitions():
-    assert shuffle_partitions(0, 8) == 8
-    assert shuffle_partitions(100 << 40, 8) == 819_200
+def test_sizing():
+    small, large = sizing(1 << 30, 8), sizing(100 << 40, 4000)
+    assert small == {"spark.sql.files.maxPartitionBytes": str(128 << 20), "spark.sql.shuffle.partitions": "8"}
+    assert large["spark.sql.shuffle.partitions"] == "40960"
+    assert 500 << 20 < int(large["spark.sql.files.maxPartitionBytes"]) <= 1 << 30
 
 
 def test_shared_folder_is_the_sessions(spark):

@@ -69,7 +69,7 @@ def newest_counts(
 ) -> DataFrame:
     """Counts of the newest window straight from events, reading that window only.
 
-    The bounds are plain subquery values, so the scan skips what lies outside them.
+    The start is one plain subquery value, so the scan skips what lies before it.
     """
     kind = events.schema[ts].dataType.simpleString()
     if as_of is None:
@@ -77,11 +77,10 @@ def newest_counts(
     else:
         clock = events.sparkSession.range(1).select(as_of.alias("_as_of"))
     end = newest_window_end(F.col("_as_of"), complete, size, slide)
-    bounds = clock.select(end.alias("_end")).select(
-        F.timestamp_seconds(F.unix_seconds("_end") - size).cast(kind).alias("start"),
-        F.col("_end").cast(kind).alias("end"),
-    )
-    start, end = bounds.select("start").scalar(), bounds.select("end").scalar()
+    start = clock.select(end.alias("_end")).select(
+        F.timestamp_seconds(F.unix_seconds("_end") - size).cast(kind)
+    ).scalar()
+    end = F.timestamp_seconds(F.unix_seconds(start.cast("timestamp")) + size).cast(kind)
     return (
         events.where((F.col(ts) >= start) & (F.col(ts) < end))
         .groupBy(F.col(name).alias("name")).agg(F.count("*").alias("cnt"))

@@ -17,9 +17,8 @@ def _buffer(capacity: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.Dat
         bucket, held, least, step = None, {}, None, 0
         for batch in batches:
             out = []
-            for b, is_update, seq, name, cnt in zip(
-                batch["bucket"], batch["is_update"], batch["seq"], batch["name"], batch["cnt"]
-            ):
+            columns = (batch[c].tolist() for c in ("bucket", "is_update", "seq", "name", "cnt"))
+            for b, is_update, seq, name, cnt in zip(*columns):
                 if b != bucket:
                     bucket, held, least, step = b, {}, None, 0
                 if not is_update:

@@ -111,9 +111,12 @@ def trailing_totals(events: DataFrame, ts: str = "ts", name: str = "name", size:
 
 
 def trailing_hour_count(events: DataFrame, ts: str = "ts", name: str = "name", size: int = HOUR) -> DataFrame:
-    """Every event with the count of its name over the hour up to it (``trailing_cnt``)."""
+    """Every event with the count of its name over the hour up to it (``trailing_cnt``).
+
+    An event without a time is kept, without a count.
+    """
     totals = trailing_totals(events, ts, name, size).select(
         F.col("name").alias("_name"), F.col("ts").alias("_ts"), F.col("cnt").alias("trailing_cnt")
     )
-    same = (F.col(name) == F.col("_name")) & (F.col(ts).cast("timestamp") == F.col("_ts"))
-    return events.join(totals, same).drop("_name", "_ts")
+    same = F.col(name).eqNullSafe(F.col("_name")) & (F.col(ts).cast("timestamp") == F.col("_ts"))
+    return events.join(totals, same, "left").drop("_name", "_ts")

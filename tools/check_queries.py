@@ -63,7 +63,7 @@ def main() -> int:
             print(f"types {name}: {mixed}")
         a, b = normal(ours), normal(theirs)
         same = a.shape == b.shape and list(a.columns) == list(b.columns) and a.equals(b)
-        print(f"{'ok  ' if same else 'DIFF'} {name}: {len(a)} / {len(b)} rows, {took:.1f}s")
+        print(f"{'ok  ' if same else 'DIFF'} {name}: {len(a)} / {len(b)} rows, {took:.1f}s", flush=True)
         if not same:
             bad += 1
             print(list(a.columns), list(b.columns), dict(ours.dtypes), dict(theirs.dtypes))

@@ -8,17 +8,24 @@ from namewire.functions.text import clean_utf8, line_field, mention_name
 from namewire.functions.times import publish_day
 from namewire.operators.rows import valid_rows
 from namewire.operators.sizing import lookup_join
-from namewire.schema import ALL_NAMES, ENTRY_SEPARATOR, JUNK_NAME, PUBLISH_DATE
+from namewire.schema import ALL_NAMES, ENTRY_SEPARATOR, JUNK_NAME, OFFSET_SEPARATOR, PUBLISH_DATE
 
 
 def explode_names(rows: DataFrame, entries: str | Column, keep: list[str | Column], name: str = "name") -> DataFrame:
-    """One row per listed name, without its offset; empty and junk names drop out."""
+    """One row per listed name, without its offset; empty and junk names drop out.
+
+    The conditions are put to the entry, before its name is cut out of it: they then
+    cost a few bytes' comparison, and the name is cut out once.
+    """
     source = F.col(entries) if isinstance(entries, str) else entries
+    entry = F.col("_entry")
+    empty = (entry == "") | entry.startswith(OFFSET_SEPARATOR)
+    junk = (entry == JUNK_NAME) | entry.startswith(JUNK_NAME + OFFSET_SEPARATOR)
     return (
         rows.select(*keep, F.explode(F.split(source, ENTRY_SEPARATOR, -1)).alias("_entry"))
+        .where(~empty & ~junk)
         .withColumn(name, mention_name("_entry"))
         .drop("_entry")
-        .where((F.col(name) != "") & (F.col(name) != JUNK_NAME))
     )
 
 

@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot join key even where that costs one more exchange afterwards
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # names are many: a small first-level map in front of the hash aggregation only costs
+    "spark.sql.codegen.aggregate.map.twolevel.enabled": "false",
     # a machine that is taken away hands its shuffle blocks on first
     "spark.decommission.enabled": "true",
     "spark.storage.decommission.enabled": "true",

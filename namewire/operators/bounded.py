@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 CAPACITY = 100
 
@@ -41,6 +41,11 @@ def _buffer(capacity: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.Dat
     return replay
 
 
+def bucket_of(buckets: int) -> Column:
+    """The bucket a name belongs to."""
+    return F.pmod(F.xxhash64("name"), F.lit(buckets)).cast("int")
+
+
 def bounded_topk(
     updates: DataFrame, state: DataFrame | None = None, capacity: int = CAPACITY, buckets: int = 1,
 ) -> DataFrame:
@@ -61,9 +66,8 @@ def bounded_topk(
         rows = rows.unionByName(state.select(
             "name", F.col("cnt").cast("bigint").alias("cnt"),
             F.lit(-1).cast("bigint").alias("seq"), F.lit(False).alias("is_update")))
-    bucket = F.pmod(F.xxhash64("name"), F.lit(buckets)).cast("int")
     return (
-        rows.withColumn("bucket", bucket)
+        rows.withColumn("bucket", bucket_of(buckets))
         .repartition(buckets, "bucket")
         .sortWithinPartitions("bucket", "is_update", "seq", "name")
         .mapInPandas(_buffer(capacity), "bucket int, seq bigint, step bigint, name string, cnt bigint, evicted boolean")

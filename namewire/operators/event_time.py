@@ -38,7 +38,7 @@ def assign_event_time(
         F.first("_first_minute").over(in_file.orderBy("block")).alias("_file_minute"),
     )
     if consecutive:
-        spots = lookup_join(lines, placed, ["file", "block"])
+        spots = lookup_join(lines, placed, ["file", "block"], max_bytes=256 << 20)
         in_block = F.col("line_id") - F.col("_first_id")
     else:
         rank = F.row_number().over(Window.partitionBy("file", "block").orderBy("line_id"))

@@ -62,3 +62,15 @@ def test_newest_windows(events):
     end = newest_counts(events).select(F.unix_seconds("window_end")).first()[0]
     assert end == newest
     assert dt.datetime.fromtimestamp(end, dt.timezone.utc).second == 0
+
+
+def test_counts_fall_as_time_goes_on(events):
+    """With no new mention, the count of the last hour falls, and a name leaves in the end."""
+    data = events.collect()
+    for minutes in (200, 230, 260, 290, 320):
+        end = BASE + minutes * 60
+        expected = Counter(r.name for r in data if end * 1000 - 3_600_000 <= r.ms < end * 1000)
+        at = F.timestamp_seconds(F.lit(end))
+        direct = newest_counts(events, as_of=at)
+        assert dict(rows(direct.select("name", "cnt"))) == expected
+        assert rows(latest_window_counts(hopping_counts(events), at)) == rows(direct)

@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from namewire.llm import minhash
+from namewire.llm import minhash, mixing, packing, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash": minhash.op2_minhash,
+    "op3_mixing": mixing.op3_mixing,
+    "op5_toxicity": toxicity.op5_toxicity,
+    "op6_packing": packing.op6_packing,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op3_mixing": mixing.OP3_SQL}

@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from namewire.llm import minhash, mixing, packing, toxicity
+from namewire.llm import decontamination, html, minhash, mixing, packing, quality, secrets, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html": html.op1_html,
     "op2_minhash": minhash.op2_minhash,
     "op3_mixing": mixing.op3_mixing,
+    "op4_secrets": secrets.op4_secrets,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_packing": packing.op6_packing,
+    "op7_decontamination": decontamination.op7_decontamination,
+    "op8_quality": quality.op8_quality,
 }
 
 ORACLE: dict[str, str] = {"op3_mixing": mixing.OP3_SQL}

@@ -56,7 +56,7 @@ def slices(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int,
 class Hasher:
     """Hashes the words of a piece of a text column."""
 
-    def __init__(self, fold: bool = True, seed: int = 11):
+    def __init__(self, fold: bool = True, seed: int = 11, letters: bool = False):
         self.values = _draw(seed, 256)
         if fold:
             self.values[65:91] = self.values[97:123]
@@ -64,6 +64,8 @@ class Hasher:
         self.inverse = pow(self.base, -1, 1 << 64)
         self.space = np.zeros(256, bool)
         self.space[[9, 10, 11, 12, 13, 32]] = True
+        if letters:  # words are runs of letters and digits
+            self.space[:128] = [not chr(k).isalnum() for k in range(128)]
         self.powers = self.backward = np.ones(1, np.uint64)
 
     def _grow(self, n: int) -> None:

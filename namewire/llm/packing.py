@@ -10,7 +10,11 @@ Ids are little-endian unsigned integers of 2 bytes where the vocabulary allows i
 
 from __future__ import annotations
 
+import os
+import re
 import struct
+import sys
+import types
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -27,7 +31,9 @@ from namewire.session import scratch_path
 
 SEEK_MAGIC, TABLE_FRAME, IDS_FRAME = 0x8F92EAB1, 0x184D2A5E, 0x184D2A50
 CHECKSUMS = 0x80  # descriptor bit: entries carry checksums
-CACHED_WORDS = 200_000
+CACHED_WORDS = 400_000
+# a word of a-z and letters of Latin-1, perhaps with a full stop or comma
+PLAIN = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,]?)")
 
 
 def open_folder(uri: str) -> tuple[pa.fs.FileSystem, str]:
@@ -40,37 +46,66 @@ def open_folder(uri: str) -> tuple[pa.fs.FileSystem, str]:
     return pa.fs.FileSystem.from_uri(uri)
 
 
-def word_encoder(path: str, width: int = 4) -> Callable[[str], np.ndarray]:
-    """Encodes texts with a tokenizer that never joins symbols across white space.
+def word_encoder(path: str, width: int = 2) -> Callable[[list[str]], list[bytes]]:
+    """Encodes texts with a word BPE that lower-cases and drops white space; ids come as bytes.
 
     Each piece between white space is encoded once and kept, up to ``CACHED_WORDS``
-    pieces; the ids of a text are those of its pieces. An ``encode`` of the whole text
-    gives the same ids.
+    pieces; the ids of a text are those of its pieces, as an ``encode`` of the whole text
+    gives them. New words of plain letters go to the tokenizer together, and are cut
+    apart where a token ends a word; a full stop or comma after a word is a word of its own.
+    A text in which a special token may stand is encoded as it is.
     """
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallelism
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    if tokenizer.get_vocab_size() > 1 << 8 * width:
+    size = tokenizer.get_vocab_size()
+    if size > 1 << 8 * width:
         raise ValueError(f"ids of {path} need more than {width} bytes")
-    cache: dict[bytes, bytes] = {}
-
-    def encode(text: str) -> np.ndarray:
-        words = text.encode().split()
-        new = [w for w in dict.fromkeys(words) if w not in cache]
-        if new:
-            if len(cache) + len(new) > CACHED_WORDS:
-                cache.clear()
-                new = list(dict.fromkeys(words))
-            found = tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-            cache.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, found))
-        return np.frombuffer(b"".join(map(cache.__getitem__, words)), "<u4")
+    kind = f"<u{width}"
+    closing = np.array([(tokenizer.id_to_token(k) or "").endswith("</w>") for k in range(size)])
+    # kept by the Python worker for its next tasks; this module itself travels by value
+    kept_by_worker = sys.modules.setdefault("namewire_word_ids", types.ModuleType("namewire_word_ids"))
+    cache: dict[bytes, bytes] = vars(kept_by_worker).setdefault(f"{path}:{width}", {})
+
+    def ids_of(pieces: list[str]) -> list[bytes]:
+        return [np.array(e.ids, kind).tobytes() for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    marks = dict(zip((b"", b".", b","), ids_of(["", ".", ","])))
+
+    def learn(new: set[bytes]) -> None:
+        found = {w: PLAIN.fullmatch(w) for w in new}
+        stems = list({m[1] for m in found.values() if m} - cache.keys())
+        for low in range(0, len(stems), 4096):
+            part = stems[low: low + 4096]
+            ids = np.array(tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, kind)
+            ends = ((np.flatnonzero(closing[ids]) + 1) * width).tolist()
+            if len(ends) == len(part):
+                raw = ids.tobytes()
+                cache.update((w, raw[i:j]) for w, i, j in zip(part, [0, *ends], ends))
+            else:
+                cache.update(zip(part, ids_of([w.decode() for w in part])))
+        cache.update((w, cache[m[1]] + marks[m[2]]) for w, m in found.items() if m)
+        others = [w for w, m in found.items() if not m]
+        cache.update(zip(others, ids_of([w.decode() for w in others])))
+
+    def encode(texts: list[str]) -> list[bytes]:
+        split = [None if "<|" in t else t.encode().lower().split() for t in texts]
+        words = set().union(*(s for s in split if s))
+        new = words - cache.keys()
+        if len(cache) + len(new) > CACHED_WORDS:
+            kept = {w: cache[w] for w in words if w in cache}
+            cache.clear()
+            cache.update(kept)
+        learn(new)
+        return [ids_of([t])[0] if s is None else b"".join(map(cache.__getitem__, s)) for t, s in zip(texts, split)]
 
     return encode
 
 
 def write_file(file: pa.NativeFile, documents: Iterator[tuple[int | None, bytes]]) -> tuple[int, int]:
     """Write frames, ids and the seek table; returns the number of documents and of bytes of ids."""
-    compress = zstandard.ZstdCompressor(level=3).compress
+    compress = zstandard.ZstdCompressor(level=1).compress
     entries, ids, total = [], [], 0
     for doc_id, raw in documents:
         frame = compress(raw)
@@ -120,14 +155,14 @@ class Reader:
 def _encode(path: str, end_id: int, width: int, cuts: list[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, edges = word_encoder(path, width), np.array(cuts, np.int64)
+        end = np.array([end_id], f"<u{width}").tobytes()
         for batch in batches:
             column = batch.column("text")
             # the number of cuts below an id; rows without an id come before all others
             known = batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
             shards = np.searchsorted(edges, batch.column("doc_id").fill_null(0).to_numpy()) * known
             for low in range(0, len(column), 256):
-                part = [np.append(encode(t or ""), end_id).astype(f"<u{width}").tobytes()
-                        for t in column.slice(low, 256).to_pylist()]
+                part = [ids + end for ids in encode([t or "" for t in column.slice(low, 256).to_pylist()])]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(low, 256), pa.array(shards[low: low + 256], pa.int32()),
                      pa.array(part, pa.binary())], names=["doc_id", "shard", "ids"])

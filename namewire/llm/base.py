@@ -18,13 +18,13 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def semi_join(facts: DataFrame, keys: DataFrame, on: str, max_rows: int = 2_000_000) -> DataFrame:
-    """Rows whose key is among the stored ``keys``.
+def semi_join(facts: DataFrame, keys: DataFrame, on: str, max_rows: int = 2_000_000, how: str = "left_semi") -> DataFrame:
+    """Rows whose key is among the stored ``keys``, or with ``left_anti`` is not.
 
     The keys are counted and broadcast up to ``max_rows``, which at 8 bytes a key is
     16 MB; beyond that both sides are shuffled.
     """
-    return facts.join(F.broadcast(keys) if keys.count() <= max_rows else keys, on, "left_semi")
+    return facts.join(F.broadcast(keys) if keys.count() <= max_rows else keys, on, how)
 
 
 def held_out(doc_id: str = "doc_id", folds: int = 5):

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from namewire.llm import decontamination, html, minhash, mixing, packing, passages, quality, secrets, toxicity
+from namewire.llm import decontamination, html, minhash, mixing, neighbours, packing, passages, quality, secrets, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html": html.op1_html,
@@ -18,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_decontamination": decontamination.op7_decontamination,
     "op8_quality": quality.op8_quality,
     "op9_passages": passages.op9_passages,
+    "op10_neighbours": neighbours.op10_neighbours,
 }
 
 ORACLE: dict[str, str] = {"op3_mixing": mixing.OP3_SQL}

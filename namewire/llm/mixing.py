@@ -73,23 +73,23 @@ def budgets(leaves: DataFrame, levels: list[str], weights: list[dict[str, int]],
 
 
 def mix(
-    documents: DataFrame, levels: dict[str, Column], weights: list[dict[str, int]],
+    documents: DataFrame, levels: dict[str, str], weights: list[dict[str, int]],
     budget: Column, max_epochs: int = 2, seed: int = 7, id_column: str = "doc_id", text_column: str = "text",
 ) -> DataFrame:
     """Documents picked for a mix.
 
-    ``levels`` names the tree from the top, with the column of each level; ``weights``
+    ``levels`` names the tree from the top, with a SQL expression for each level; ``weights``
     has a dict of node weights for each. ``budget`` is a number of tokens, or an expression of
     ``sum(tokens)``. Tokens are words. Returns ``doc_id``, the levels, ``tokens``, ``epoch``
     from 0 and ``tokens_taken``: one row for each time a document is read, in its last
     epoch perhaps in part. A null level is a node of its own; a null or blank text has no
-    tokens and rides along; rows that repeat an id are read each for itself; an empty
+    tokens and is read with its leaf, but a leaf without tokens is never read; rows that repeat an id are read each for itself; an empty
     table gives no row.
     """
     names = list(levels)
     counted = stored(documents.select(
         F.col(id_column).cast("long").alias("doc_id"),
-        *(F.coalesce(column.cast("string"), F.lit(NONE)).alias(name) for name, column in levels.items()),
+        *(F.coalesce(F.expr(level).cast("string"), F.lit(NONE)).alias(name) for name, level in levels.items()),
         F.coalesce(F.regexp_count(F.col(text_column), F.lit(WORDS)), F.lit(0)).cast("long").alias("tokens")), "counted")
     leaves = counted.groupBy(*names).agg(F.sum("tokens").alias("tokens"))
     leaves = leaves.withColumn("cap", F.col("tokens") * max_epochs)
@@ -127,8 +127,8 @@ def mix(
 
 
 DOMAIN = """case when source is null then '(none)' when source = 'src0' then 'web'
-  when cast(substr(source, 4) as int) % 2 = 0 then 'books' else 'forums' end"""
-TREE = {"domain": F.expr(DOMAIN), "language": F.col("lang"), "origin": F.col("source")}
+  when try_cast(substr(source, 4) as int) % 2 = 0 then 'books' else 'forums' end"""
+TREE = {"domain": DOMAIN, "language": "lang", "origin": "source"}
 WEIGHTS = [{"web": 3, "books": 4, "forums": 2}, {"en": 5, "de": 2, "fr": 2}, {"src1": 4, "src2": 3}]
 
 

@@ -37,9 +37,8 @@ def _unit(vectors: pd.Series) -> np.ndarray:
 def _deal(wanted: int, overlap: int):
     """Cells around centres; rows whose cell cannot be divided keep it, marked."""
     def run(key: tuple, rows: pd.DataFrame, centres: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"node": [], "vector": [], "cell": [], "fixed": []})
         if rows.empty:
-            return empty
+            return rows[["node", "vector", "cell"]].assign(fixed=False)
         x = _unit(rows["vector"])
         c = _unit(centres.sort_values("node")["vector"]) if len(centres) else x[:1]
         apart: list[int] = []
@@ -126,7 +125,7 @@ def _build(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     x = _unit(rows["vector"]).astype(np.float32)
     nodes, n = rows["node"].to_numpy(), len(rows)
     if n < 2:
-        return pd.DataFrame({"node": [], "neighbours": []})
+        return pd.DataFrame({"node": pd.Series([], dtype="int64"), "neighbours": pd.Series([], dtype=object)})
     draw = np.random.Generator(np.random.PCG64(3))
     lists: list[set[int]] = [set() for _ in range(n)]
     for low in range(0, n, 256):

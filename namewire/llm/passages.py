@@ -135,8 +135,10 @@ def near_window(a: np.ndarray, b: np.ndarray, ca: int, cb: int, left: int, right
     np.add.at(steps, low[inside] - first, 1)
     np.add.at(steps, high[inside] - first + 1, -1)
     common = np.cumsum(steps)[:-1]
-    good = np.flatnonzero(100 * common >= percent * (2 * least - common))
-    return (first + int(good[0]), first + int(good[-1])) if len(good) else None
+    offset = np.arange(first, last + 1)
+    # a passage starts and ends with something that both have
+    good = offset[(100 * common >= percent * (2 * least - common)) & np.isin(-offset, i) & np.isin(least - 1 - offset, i)]
+    return (int(good[0]), int(good[-1])) if len(good) else None
 
 
 def _compare(least: int, percent: int):

@@ -51,6 +51,9 @@ def parse_record_id(c) -> Column:
     )
 
 
+NUMBER = r"^\s*([0-9]{1,3}(?:,[0-9]{3})+(?:\.[0-9]+)?|[0-9]+(?:\.[0-9]*)?|\.[0-9]+)"
+
+
 def leading_number(c) -> Column:
-    """Number at the start of a text with a unit; null where there is none."""
-    return F.regexp_extract(_col(c), r"^(\d*\.*\d*)", 1).try_cast("double")
+    """Number at the start of a text with a unit, with or without thousands separators; null where there is none."""
+    return F.replace(F.regexp_extract(_col(c), NUMBER, 1), F.lit(","), F.lit("")).try_cast("double")

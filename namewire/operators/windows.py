@@ -92,22 +92,29 @@ def newest_counts(
 def trailing_totals(events: DataFrame, ts: str = "ts", name: str = "name", size: int = HOUR) -> DataFrame:
     """(name, ts, cnt): mentions in ``[ts - size, ts]``, for every instant of a name.
 
-    Equal instants are counted first. Each instant is in its own size-wide block and,
-    as context, in the next one, so a frame never leaves its block: a window partition
-    is two blocks of one name, and holds each instant once.
+    The count is a running total at the instant less the running total just before
+    ``ts - size``, which a probe row reads off. Totals run within a minute of a name and
+    start from the minutes before it, so the work is linear and a hot name is in many tasks.
     """
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    width = size * 1_000_000
-    instants = events.groupBy(F.col(name).alias("name"), micros.alias("_at")).agg(F.count("*").alias("_n"))
-    own = F.col("_at") - F.pmod("_at", F.lit(width))
-    frame = Window.partitionBy("name", "_block").orderBy("_at").rangeBetween(-width, 0)
-    return (
-        instants.withColumn("_own", own)
-        .withColumn("_block", F.explode(F.array(F.col("_own"), F.col("_own") + width)))
-        .withColumn("cnt", F.sum("_n").over(frame))
-        .where(F.col("_block") == F.col("_own"))
-        .select("name", F.timestamp_micros("_at").alias("ts"), "cnt")
-    )
+    instants = events.groupBy(F.col(name).alias("name"), micros.alias("_at")).agg(F.count("*").alias("_n")).where(
+        "_at is not null")
+    marks = instants.withColumn("_mark", F.explode(F.array(
+        F.struct(F.col("_at").alias("at"), F.lit(1).alias("sign")),
+        F.struct((F.col("_at") - size * 1_000_000).alias("at"), F.lit(-1).alias("sign")))))
+    marks = marks.select(
+        "name", F.col("_at").alias("_ref"), "_mark.at", "_mark.sign",
+        F.when(F.col("_mark.sign") == 1, F.col("_n")).otherwise(0).alias("_n"),
+        F.floor(F.col("_mark.at") / (MINUTE * 1_000_000)).alias("_block"))
+    before = Window.partitionBy("name").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = marks.groupBy("name", "_block").agg(F.sum("_n").alias("_in")).select(
+        F.col("name").alias("_name"), F.col("_block").alias("_from"), F.coalesce(F.sum("_in").over(before), F.lit(0)).alias("_start"))
+    # a probe stands before an instant of the same time
+    upto = Window.partitionBy("name", "_block").orderBy("at", "sign").rowsBetween(Window.unboundedPreceding, 0)
+    running = marks.withColumn("_run", F.sum("_n").over(upto))
+    total = running.join(starts, F.col("name").eqNullSafe(F.col("_name")) & (F.col("_block") == F.col("_from")))
+    return total.groupBy("name", "_ref").agg(F.sum(F.col("sign") * (F.col("_start") + F.col("_run"))).alias("cnt")).select(
+        "name", F.timestamp_micros("_ref").alias("ts"), "cnt")
 
 
 def trailing_hour_count(events: DataFrame, ts: str = "ts", name: str = "name", size: int = HOUR) -> DataFrame:

@@ -224,9 +224,7 @@ select strftime(w, '%Y-%m-%d %H:%M:%S') as window_start,
   strftime(w + interval 1 hour, '%Y-%m-%d %H:%M:%S') as window_end, event_type as name, count(*) as cnt
 from events, e where ts >= w and ts < w + interval 1 hour group by all""")
 def latest_started_window(spark, d):
-    events = tables.mentions(spark, d)
-    as_of = events.select(F.max("ts")).scalar()
-    return _printed(windows.latest_window_counts(windows.hopping_counts(events), as_of, complete=False))
+    return _printed(windows.newest_counts(tables.mentions(spark, d), complete=False))
 
 
 @query("""select event_id, event_type as name, count(*) over (
@@ -440,8 +438,8 @@ def price_series(spark, d):
 @query(f"""with {oracle.CHEAPEST}, {oracle.ATTRIBUTES}
 select instance_type, case instance_type[1] when 'c' then 'compute optimized' when 'm' then 'general purpose'
     when 'r' then 'memory optimized' end as family, zone, min_price,
-  round(try_cast(regexp_extract(memory, '^(\\d*\\.*\\d*)', 1) as double) / nullif(min_price, 0), 6) as memory_efficiency,
-  round(try_cast(regexp_extract(ecu, '^(\\d*\\.*\\d*)', 1) as double) / nullif(min_price, 0), 6) as ecu_efficiency
+  round(try_cast(replace(regexp_extract(memory, '{text.NUMBER}', 1), ',', '') as double) / nullif(min_price, 0), 6) as memory_efficiency,
+  round(try_cast(replace(regexp_extract(ecu, '{text.NUMBER}', 1), ',', '') as double) / nullif(min_price, 0), 6) as ecu_efficiency
 from attributes join cheapest using (instance_type)""")
 def cost_efficiency(spark, d):
     out = prices.cost_efficiency(tables.attributes(spark, d), prices.cheapest_zone(_latest(spark, d)))
@@ -450,8 +448,8 @@ def cost_efficiency(spark, d):
 
 
 @query(f"""with {oracle.ATTRIBUTES}
-select instance_type, try_cast(regexp_extract(memory, '^(\\d*\\.*\\d*)', 1) as double) as memory,
-  try_cast(regexp_extract(ecu, '^(\\d*\\.*\\d*)', 1) as double) as ecu from attributes""")
+select instance_type, try_cast(replace(regexp_extract(memory, '{text.NUMBER}', 1), ',', '') as double) as memory,
+  try_cast(replace(regexp_extract(ecu, '{text.NUMBER}', 1), ',', '') as double) as ecu from attributes""")
 def leading_numbers(spark, d):
     return tables.attributes(spark, d).select(
         "instance_type", text.leading_number("memory").alias("memory"), text.leading_number("ecu").alias("ecu"))

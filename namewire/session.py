@@ -59,7 +59,8 @@ def build_session(
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = dict(SETTINGS)
+    # split sizes must not follow the number of live cores: two scans of a file have to cut it alike
+    settings = SETTINGS | {"spark.sql.files.minPartitionNum": str(cores)}
     if input_bytes is not None:
         settings.update(sizing(input_bytes, cores))
     settings.update(conf or {})
@@ -77,13 +78,16 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only a session without ``spark.checkpoint.dir`` (a local test) gets a
-    temporary folder.
+    Only a local session without ``spark.checkpoint.dir`` (a test) gets a temporary
+    folder; on a cluster, a folder of the driver's own disk would lose data.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         root = tempfile.mkdtemp(prefix="namewire-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)

@@ -18,8 +18,8 @@ def apply(spark, values, fn, kind="string"):
 
 
 def test_leading_number(spark):
-    texts = ["8 GiB", "1,952 GiB", "Variable", "26.5", "", "..5", ".5 x", "7."]
-    assert apply(spark, texts, leading_number) == [8.0, 1.0, None, 26.5, None, None, 0.5, 7.0]
+    texts = ["8 GiB", "1,952 GiB", "Variable", "26.5", "", "..5", ".5 x", "7.", "12,34"]
+    assert apply(spark, texts, leading_number) == [8.0, 1952.0, None, 26.5, None, None, 0.5, 7.0, 12.0]
 
 
 def test_parse_record_id(spark):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from namewire.operators.sizing import lookup_join
 from namewire.schema import FIRST_KEY
 
 
@@ -33,14 +34,15 @@ def snapshot_and_delta(log: DataFrame, at: Column, seq: str = "seq") -> tuple[Da
 def json_message(updates: DataFrame, by: list[str], max_entries: int = 1000) -> DataFrame:
     """Updates as JSON array messages of {name, count}, names in order.
 
-    Messages hold about ``max_entries`` updates; a key with more has several. Updates
-    are counted by ``cnt``, so that both sides of the join share an exchange below.
+    Messages hold about ``max_entries`` updates; a key with more has several. The sizes,
+    one row a key, are measured and broadcast if small, so that a busy key's updates are
+    exchanged only once, on (key, part).
     """
     chunks = F.greatest(F.ceil(F.count("cnt") / F.lit(max_entries)), F.lit(1))
     sizes = updates.groupBy(*by).agg(chunks.alias("_chunks"))
     entry = F.struct("name", F.col("cnt").alias("count"))
     return (
-        updates.join(sizes, by)
+        lookup_join(updates, sizes, by)
         .withColumn("part", F.pmod(F.xxhash64("name"), F.col("_chunks")))
         .groupBy(*by, "part")
         .agg(F.to_json(F.array_sort(F.collect_list(entry))).alias("message"))

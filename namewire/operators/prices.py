@@ -29,10 +29,19 @@ def region_digit(zone) -> Column:
     return F.substring(text, F.length(text) - 1, F.lit(1))
 
 
-def latest_price(prices: DataFrame, order: str | list[str] = "ts", by: list[str] | None = None) -> DataFrame:
-    """Last known price per (instance_type, zone); more ``order`` columns settle equal times."""
-    latest = F.max_by("price", F.col(order) if isinstance(order, str) else F.struct(*order))
-    return prices.groupBy(*(by or ["instance_type", "zone"])).agg(latest.alias("price"))
+def latest_price(
+    prices: DataFrame, order: str = "ts", by: list[str] | None = None, tie: str | None = None,
+) -> DataFrame:
+    """Last known price per (instance_type, zone); of equal times the highest ``tie`` counts.
+
+    The latest time is found first and the tie settled among its rows, which keeps
+    both steps hash aggregations.
+    """
+    keys = by or ["instance_type", "zone"]
+    if tie is None:
+        return prices.groupBy(*keys).agg(F.max_by("price", F.col(order)).alias("price"))
+    same_time = prices.groupBy(*keys, order).agg(F.max_by("price", F.col(tie)).alias("price"))
+    return same_time.groupBy(*keys).agg(F.max_by("price", F.col(order)).alias("price"))
 
 
 def cheapest_zone(latest: DataFrame) -> DataFrame:

@@ -163,7 +163,9 @@ def stop_list_counts(spark, d):
 @query("""select doc_id, length(replace(text, chr(65533), '')) as clean_length,
   md5(replace(text, chr(65533), '')) as digest from documents""")
 def clean_texts(spark, d):
-    clean = text.clean_utf8("text")
+    """Every text with bytes around it that are not UTF-8."""
+    bad = F.concat(F.unhex(F.lit("C3")), F.encode("text", "UTF-8"), F.unhex(F.lit("FFE282"))).cast("string")
+    clean = text.clean_utf8(bad)
     return tables.table(spark, d, "documents").select(
         "doc_id", F.length(clean).cast("bigint").alias("clean_length"), F.md5(clean).alias("digest"))
 
@@ -314,9 +316,27 @@ def _keyed_events(spark: SparkSession, d: str) -> DataFrame:
         F.concat_ws("-", F.date_format("ts", "yyyyMMddHHmmss"), "event_id").alias("key"))
 
 
-@query()
+@query(f"""with recursive {oracle.CHANGELOG}, log as (
+  select cast(name as bigint) % 16 as bucket, seq, name, cnt,
+    row_number() over (partition by cast(name as bigint) % 16 order by seq, name) as rn from changelog),
+replay as (
+  select distinct bucket, 0::bigint as rn, []::struct(c bigint, n varchar)[] as held, false as taken,
+    null::varchar as gone, null::bigint as seq, null::varchar as name, null::bigint as cnt from log
+  union all
+  select bucket, rn, case when not takes then held
+      else list_filter(held, lambda x: x.n <> name and (leaves is null or x.n <> leaves)) || [{{'c': cnt, 'n': name}}] end,
+    takes, leaves, seq, name, cnt
+  from (select *, known or room or cnt > low.c as takes, case when not known and not room and cnt > low.c then low.n end as leaves
+    from (select l.bucket, l.rn, l.seq, l.name, l.cnt, r.held, list_sort(r.held)[1] as low,
+        len(r.held) < 5 as room, list_contains(list_transform(r.held, lambda x: x.n), l.name) as known
+      from replay r join log l on l.bucket = r.bucket and l.rn = r.rn + 1)))
+select bucket::int as bucket, seq, name, cnt, false as evicted from replay where taken
+union all select bucket::int, seq, gone, 0, true from replay where gone is not null""")
 def bounded_topk(spark, d):
-    return bounded.bounded_topk(tables.changelog(spark, d), capacity=100, buckets=4)
+    """Five names a bucket, so that names are evicted."""
+    return bounded.bounded_topk(
+        tables.changelog(spark, d), capacity=5, buckets=16, bucket=F.col("name").cast("bigint") % 16
+    ).select("bucket", "seq", "name", "cnt", "evicted")
 
 
 @query(f"with {oracle.CHANGELOG} select name, cnt, seq from changelog")
@@ -418,7 +438,7 @@ def latest_price(spark, d):
 
 
 def _latest(spark: SparkSession, d: str) -> DataFrame:
-    return prices.latest_price(tables.prices(spark, d))
+    return prices.latest_price(tables.prices(spark, d), tie="event_id")
 
 
 @query(f"with {oracle.CHEAPEST} select instance_type, zone, min_price from cheapest")
@@ -559,8 +579,10 @@ def _drain(spark: SparkSession, updates: DataFrame, label: str) -> DataFrame:
 
 
 def _event_stream(spark: SparkSession, d: str) -> DataFrame:
-    schema = tables.table_schema(spark, f"{d}/events.parquet")
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    path = f"{d}/events.parquet"
+    reader = spark.readStream.schema(tables.table_schema(spark, path)).option("maxFilesPerTrigger", 4)
+    return reader.parquet(path) if tables.is_folder(spark, path) else reader.option(
+        "pathGlobFilter", "events.parquet").parquet(d)
 
 
 @query(HOPPING)
@@ -594,8 +616,8 @@ def stream_daily_top_names(spark, d):
 def stream_bounded_topk(spark, d):
     root = scratch_path(spark, "topk")
     events = _event_stream(spark, d).select("ts", F.col("user_id").cast("string").alias("name"))
-    buffer = live.BoundedTopK(f"{root}/buffer", capacity=100, buckets=4)
+    buffer = live.BoundedTopK(f"{root}/buffer", capacity=5, buckets=16)
     live.start_bounded_topk(
         live_mentions.live_hopping_counts(events), buffer, f"{root}/checkpoint", {"availableNow": True}
     ).awaitTermination()
-    return buffer.top(spark, 0)
+    return buffer.top(spark)

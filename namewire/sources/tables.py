@@ -134,3 +134,9 @@ def arrived_segments(spark: SparkSession, folder: str) -> DataFrame:
     """The 15-minute files that have at least one event."""
     start = F.timestamp_seconds(epoch_floor("ts", 900))
     return table(spark, folder, "events").select(segment_name(start).alias("file_name")).distinct()
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether a table is a folder of part files, in whatever store it lies."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).isDirectory()

@@ -70,4 +70,7 @@ COSTS = f"""{CHEAPEST}, {RUNS}, costs as (
     runtime_min / 60 * instances * min_price as cost
   from runs join cheapest using (instance_type))"""
 
+BY_REGION = """by_region as (
+  select instance_type, zone[length(zone) - 1] as region, min(price) as price from latest group by all)"""
+
 SEGMENT = "strftime(to_timestamp(floor(epoch(ts) / 900) * 900) at time zone 'UTC', '%Y%m%d%H%M00')"

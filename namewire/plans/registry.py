@@ -192,6 +192,33 @@ def written_top_names(spark, d):
     return back.select("publish_date", "name", "cnt")
 
 
+@query(TOP)
+def text_top_names(spark, d):
+    """Written as text, one JSON object a line, over an older result in the same folder."""
+    folder = scratch_path(spark, "ranked-text")
+    top = daily.daily_top_names(tables.article_lines(spark, d))
+    ranked.write_ranked(top.limit(1), folder, form="text", mode="errorifexists")
+    ranked.write_ranked(top, folder, form="text", mode="overwrite")
+    row = F.from_json("value", "publish_date string, name string, cnt bigint")
+    return spark.read.text(folder).select(row.alias("r")).select("r.*")
+
+
+@query(TOP)
+def top_names_in_few_partitions(spark, d):
+    folder = scratch_path(spark, "articles")
+    tables.article_lines(spark, d).select("value").repartition(12).write.text(folder)
+    return daily.daily_top_names(articles.read_articles(spark, folder, partitions=3))
+
+
+@query(f"""with {oracle.LINES}
+select string_split(value, chr(9))[1] as key, md5(value) as digest, 0 as partition,
+  strftime(ts, '%Y-%m-%d %H:%M:%S') as event_time from lines""")
+def published_lines(spark, d):
+    lines = tables.article_lines(spark, d).withColumnRenamed("ts", "event_time")
+    return topics.line_records(lines, topic="articles", partition=0).select(
+        "key", F.md5("value").alias("digest"), "partition", _second("event_time").alias("event_time"))
+
+
 # ---- windows -----------------------------------------------------------------------------
 
 HOPPING = """with hops as (
@@ -346,6 +373,17 @@ def count_records(spark, d):
     return count_source.decode_counts(sent).select("name", "cnt", F.col("offset").alias("seq"))
 
 
+@query(f"with {oracle.CHANGELOG} select name, cnt from changelog")
+def stream_count_records(spark, d):
+    """Records in a folder that stands for a topic, decoded by a stream in several batches."""
+    root = scratch_path(spark, "counts")
+    topics.count_records(tables.changelog(spark, d)).repartition(6).write.parquet(f"{root}/topic")
+    decoded = count_source.stream_counts(spark, f"{root}/topic", "parquet")
+    topics.sink_changelog(decoded, f"{root}/checkpoint", f"{root}/out", trigger={"availableNow": True},
+                          output_mode="append").awaitTermination()
+    return live.stored_epochs(spark, f"{root}/out").select("name", "cnt")
+
+
 # ---- segment files -----------------------------------------------------------------------
 
 @query(f"""with {oracle.LINES}, placed as (
@@ -495,6 +533,17 @@ def run_cost(spark, d):
     return _costs(spark, d).select("run_id", "instance_type", "instances", "data_size", "cost")
 
 
+@query(f"""with {oracle.CHEAPEST}, {oracle.RUNS}, {oracle.BY_REGION}
+select run_id, instance_type, region, runtime_min / 60 * instances * price as cost
+from (select *, (run_id % 2 + 1)::varchar as region from runs) join by_region using (instance_type, region)""")
+def run_cost_by_region(spark, d):
+    """Runs are priced at the cheapest zone of their own region."""
+    cheapest = _latest(spark, d).groupBy("instance_type", prices.region_digit("zone").alias("region")).agg(
+        F.min("price").alias("price"))
+    done = tables.runs(spark, d).withColumn("region", (F.col("run_id") % 2 + 1).cast("string"))
+    return runs.run_cost(done, cheapest, on=["instance_type", "region"]).select("run_id", "instance_type", "region", "cost")
+
+
 @query(f"""with {oracle.COSTS}, means as (
   select data_size, instance_type, instances, avg(cost) as cost from costs group by all)
 select data_size, instance_type, instances, round(cost, 6) as cost from means

@@ -13,7 +13,8 @@ from namewire.operators.ranking import nest_top_names, top_names
 from namewire.operators.rows import row_quality, valid_rows
 from namewire.plans.daily import daily_top_names, write_daily_top_names
 from namewire.sinks.ranked import write_ranked
-from namewire.sources.articles import article_table, read_articles, schema_from_descriptor
+from namewire.operators.event_time import assign_event_time
+from namewire.sources.articles import article_table, read_articles, read_placed_lines, schema_from_descriptor
 from namewire.sources.tables import article_lines
 
 HAZARDS = [
@@ -122,3 +123,25 @@ def test_write_modes(spark, hazard_file, tmp_path):
 
 def test_reader_partitions(spark, hazard_file):
     assert read_articles(spark, hazard_file, partitions=1).rdd.getNumPartitions() == 1
+
+
+def test_moved_splits_never_lose_lines(spark, tmp_path):
+    """Files cut elsewhere by the second scan: the right rows or an error, never fewer rows."""
+    lines = [article(f"2024010513{k % 60:02d}00", f"Ann,{k}", serial=k) for k in range(3000)]
+    for part in range(3):
+        (tmp_path / f"2024010513{part * 15:02d}00.gkg.csv").write_text("\n".join(lines[part * 1000:(part + 1) * 1000]) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+        placed = assign_event_time(read_placed_lines(spark, str(tmp_path)), consecutive=True)
+        assert sorted(r.position for r in placed.collect()) == sorted(list(range(1000)) * 3)
+        moved = assign_event_time(read_placed_lines(spark, str(tmp_path)), consecutive=True)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "7000")
+        try:
+            got = sorted(r.position for r in moved.collect())
+        except Exception as e:
+            assert "splits" in str(e)
+        else:
+            assert got == sorted(list(range(1000)) * 3)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from namewire.operators.windows import (
-    hopping_counts, latest_window_counts, newest_counts, trailing_hour_count,
+    hopping_counts, latest_window_counts, newest_counts, trailing_hour_count, trailing_totals,
 )
 
 BASE = 1_704_067_200  # 2024-01-01 00:00:00 UTC
@@ -74,3 +74,14 @@ def test_counts_fall_as_time_goes_on(events):
         direct = newest_counts(events, as_of=at)
         assert dict(rows(direct.select("name", "cnt"))) == expected
         assert rows(latest_window_counts(hopping_counts(events), at)) == rows(direct)
+
+
+def test_hot_name_is_in_many_tasks(spark):
+    """One name, one hour: running totals are made a minute at a time."""
+    events = spark.range(20_000).select(F.lit("hot").alias("name"), F.timestamp_millis(F.lit(BASE * 1000) + F.col("id") * 180).alias("ts"))
+    totals = trailing_totals(events)
+    assert totals.count() == 20_000 and totals.agg(F.max("cnt")).first()[0] == 20_000
+    plan = totals._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(name" in plan and "Window [sum(_n" in plan
+    sums = [line for line in plan.splitlines() if "Window [sum(_n" in line]
+    assert sums and all("_block" in line.rsplit("]", 3)[1] for line in sums)  # never by the name alone

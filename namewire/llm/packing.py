@@ -31,7 +31,9 @@ from namewire.session import scratch_path
 
 SEEK_MAGIC, TABLE_FRAME, IDS_FRAME = 0x8F92EAB1, 0x184D2A5E, 0x184D2A50
 CHECKSUMS = 0x80  # descriptor bit: entries carry checksums
-CACHED_WORDS = 400_000
+CACHED_WORDS = 300_000
+# where a stop or comma before white space may be one symbol with what precedes it
+APART = re.compile(rb"[^0-9a-z\x80-\xbf][.,][ \n]|[\xc2\xc4-\xff]|\xc3[\x97\xb7]")
 # a word of a-z and letters of Latin-1, perhaps with a full stop or comma
 PLAIN = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,]?)")
 
@@ -46,14 +48,14 @@ def open_folder(uri: str) -> tuple[pa.fs.FileSystem, str]:
     return pa.fs.FileSystem.from_uri(uri)
 
 
-def word_encoder(path: str, width: int = 2) -> Callable[[list[str]], list[bytes]]:
+def word_encoder(path: str, width: int = 2) -> Callable[[list[bytes]], list[bytes]]:
     """Encodes texts with a word BPE that lower-cases and drops white space; ids come as bytes.
 
     Each piece between white space is encoded once and kept, up to ``CACHED_WORDS``
     pieces; the ids of a text are those of its pieces, as an ``encode`` of the whole text
     gives them. New words of plain letters go to the tokenizer together, and are cut
     apart where a token ends a word; a full stop or comma after a word is a word of its own.
-    A text in which a special token may stand is encoded as it is.
+    Texts are UTF-8. A text in which a special token may stand is encoded as it is.
     """
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallelism
     from tokenizers import Tokenizer
@@ -89,8 +91,16 @@ def word_encoder(path: str, width: int = 2) -> Callable[[list[str]], list[bytes]
         others = [w for w, m in found.items() if not m]
         cache.update(zip(others, ids_of([w.decode() for w in others])))
 
-    def encode(texts: list[str]) -> list[bytes]:
-        split = [None if "<|" in t else t.encode().lower().split() for t in texts]
+    def split_of(text: bytes) -> list[bytes] | None:
+        if b"<|" in text:
+            return None
+        text = text.lower()
+        if not APART.search(text):
+            text = text.replace(b", ", b" , ").replace(b". ", b" . ").replace(b".\n", b" .\n")
+        return text.split()
+
+    def encode(texts: list[bytes]) -> list[bytes]:
+        split = [split_of(t) for t in texts]
         words = set().union(*(s for s in split if s))
         new = words - cache.keys()
         if len(cache) + len(new) > CACHED_WORDS:
@@ -98,7 +108,7 @@ def word_encoder(path: str, width: int = 2) -> Callable[[list[str]], list[bytes]
             cache.clear()
             cache.update(kept)
         learn(new)
-        return [ids_of([t])[0] if s is None else b"".join(map(cache.__getitem__, s)) for t, s in zip(texts, split)]
+        return [ids_of([t.decode()])[0] if s is None else b"".join(map(cache.__getitem__, s)) for t, s in zip(texts, split)]
 
     return encode
 
@@ -157,12 +167,12 @@ def _encode(path: str, end_id: int, width: int, cuts: list[int]):
         encode, edges = word_encoder(path, width), np.array(cuts, np.int64)
         end = np.array([end_id], f"<u{width}").tobytes()
         for batch in batches:
-            column = batch.column("text")
+            column = batch.column("text").cast(pa.binary())
             # the number of cuts below an id; rows without an id come before all others
             known = batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
             shards = np.searchsorted(edges, batch.column("doc_id").fill_null(0).to_numpy()) * known
             for low in range(0, len(column), 256):
-                part = [ids + end for ids in encode([t or "" for t in column.slice(low, 256).to_pylist()])]
+                part = [ids + end for ids in encode([t or b"" for t in column.slice(low, 256).to_pylist()])]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(low, 256), pa.array(shards[low: low + 256], pa.int32()),
                      pa.array(part, pa.binary())], names=["doc_id", "shard", "ids"])

@@ -10,7 +10,8 @@ Each such group is held against its smallest member only. A member that shares n
 passage with it is sent on under the shingle at which the two part, to the left and to the
 right: members that share more with each other than with the centre part from it at
 the same place, with the same shingle. So groups of any size take a few rounds with one
-comparison a member, and no passage is lost.
+comparison a member, and no verbatim passage is lost; an edited one is found if one of its
+smallest shingles and the one half a passage away are whole.
 """
 
 from __future__ import annotations
@@ -24,10 +25,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from namewire.llm.base import semi_join, stored, table
 from namewire.llm.words import Hasher, mix, shingles, texts
 
-SHINGLE, LEAST_WORDS, PERCENT, HASHES = 5, 50, 80, 3
-SKETCH = "id long, node long, n_words long, keys array<long>, places array<int>, lows array<int>, highs array<int>"
+SHINGLE, LEAST_WORDS, PERCENT, HASHES = 5, 50, 80, 2
+SKETCH = "id long, node long, n_words long, keys array<long>, places array<int>, lefts array<tinyint>, rights array<tinyint>"
 FOUND = ("a long, b long, start_a int, end_a int, start_b int, end_b int,"
-         " key long, node long, place int, low int, high int")
+         " key long, node long, place int, left tinyint, right tinyint")
 
 
 def compact_windows(items: np.ndarray, at: np.ndarray, least: int, salt: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -91,17 +92,21 @@ def _sketch(least: int, hashes: int):
                 for f in range(hashes):
                     c, low, high = compact_windows(items, ends - 1, least, f)
                     row = np.searchsorted(ends, c, side="right")
-                    keys = mix(items[c] + np.uint64(f)).view(np.int64)
-                    found.append(np.c_[row, keys, c - (ends - lengths)[row], low - (ends - lengths)[row], high - (ends - lengths)[row]])
+                    reach = np.minimum(np.stack([c - low, high - c]), least - 1)
+                    # a passage around the place goes on for half of its least length to one side at least
+                    for side, far, there in ((0, c - least // 2, low), (1, c + least // 2, high)):
+                        inside = far >= there if side == 0 else far <= there
+                        key = mix(items[c[inside]] + mix(items[far[inside]] + np.uint64(2 * f + side))).view(np.int64)
+                        found.append(np.c_[row[inside], key, (c - (ends - lengths)[row])[inside], reach[0][inside], reach[1][inside]])
                 found = np.concatenate(found)
                 found = found[np.argsort(found[:, 0], kind="stable")]
                 cuts = pa.array(np.searchsorted(found[:, 0], np.arange(len(part) + 1)).astype(np.int32))
-                columns = [pa.ListArray.from_arrays(cuts, pa.array(found[:, k], pa.int64() if k == 1 else pa.int32()))
+                columns = [pa.ListArray.from_arrays(cuts, pa.array(found[:, k], {1: pa.int64(), 2: pa.int32()}.get(k, pa.int8())))
                            for k in range(1, 5)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id").slice(at_row, len(part)), pa.array([_node(s) for s, _ in part], pa.int64()),
                      pa.array([n for _, n in part], pa.int64()), *columns],
-                    names=["id", "node", "n_words", "keys", "places", "lows", "highs"])
+                    names=["id", "node", "n_words", "keys", "places", "lefts", "rights"])
                 at_row += len(part)
     return run
 
@@ -112,7 +117,7 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _sequences(batch.column("text"), hasher):
             for sequence, _ in part:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([_node(sequence)], pa.int64()), pa.array([sequence.tobytes()], pa.binary())], names=["node", "items"])
+                    [pa.array([_node(sequence)], pa.int64()), pa.array([sequence.astype(np.uint32).tobytes()], pa.binary())], names=["node", "items"])
 
 
 def near_window(a: np.ndarray, b: np.ndarray, ca: int, cb: int, left: int, right: int, least: int, percent: int):
@@ -146,16 +151,16 @@ def _compare(least: int, percent: int):
         for batch in batches:
             out = []
             for row in range(len(batch)):
-                a = np.frombuffer(batch.column("items_a")[row].as_buffer(), np.uint64)
-                b = np.frombuffer(batch.column("items_b")[row].as_buffer(), np.uint64)
+                a = np.frombuffer(batch.column("items_a")[row].as_buffer(), np.uint32)
+                b = np.frombuffer(batch.column("items_b")[row].as_buffer(), np.uint32)
                 na, nb = batch.column("a")[row].as_py(), batch.column("b")[row].as_py()
                 breaks: dict[int, np.ndarray] = {}
-                covered: list[tuple[int, int]] = []
+                covered: list[tuple[int, int, int]] = []
                 for seed in batch.column("seeds")[row].as_py():
                     ca, cb = seed["ca"], seed["cb"]
-                    if any(s <= cb < e for s, e in covered):
-                        continue
                     d, start = cb - ca, max(0, ca - cb)
+                    if any(s <= cb < e and d == shift for s, e, shift in covered):
+                        continue
                     if d not in breaks:
                         n = min(len(a) - start, len(b) - start - d)
                         other = np.flatnonzero(a[start: start + n] != b[start + d: start + d + n]) + start
@@ -163,21 +168,20 @@ def _compare(least: int, percent: int):
                     k = int(np.searchsorted(breaks[d], ca))
                     low, high = int(breaks[d][k - 1]) + 1, int(breaks[d][k])
                     if high - low < least:
-                        left = min(ca - seed["la"], cb - seed["lb"])
-                        right = min(seed["ha"] - ca, seed["hb"] - cb)
-                        near = near_window(a, b, ca, cb, left, right, least, percent)
+                        near = near_window(a, b, ca, cb, min(seed["la"], seed["lb"]), min(seed["ra"], seed["rb"]), least, percent)
                         if near is None:
                             for side, place in ((1, high), (2, low - 1)):
                                 if 0 <= place + d < len(b):
                                     parting = shingles(np.array([seed["key"], side, place - ca, 0], np.int64).view(np.uint64)
                                                        + np.r_[0, 0, 0, b[place + d]].astype(np.uint64), 4)
-                                    out.append((None,) * 6 + (int(parting[:1].view(np.int64)[0]), nb, cb, seed["lb"], seed["hb"]))
+                                    out.append((None,) * 6 + (int(parting[:1].view(np.int64)[0]), nb, cb, seed["lb"], seed["rb"]))
                             continue
                         low, high = ca - near[1], ca - near[0] + least
-                    covered.append((low + d, high + d))
+                    covered.append((low + d, high + d, d))
                     out.append((na, nb, low, high + SHINGLE - 1, low + d, high + d + SHINGLE - 1) + (None,) * 5)
-            names = ["a", "b", "start_a", "end_a", "start_b", "end_b", "key", "node", "place", "low", "high"]
-            types = [pa.int64() if n in ("a", "b", "key", "node") else pa.int32() for n in names]
+            names = ["a", "b", "start_a", "end_a", "start_b", "end_b", "key", "node", "place", "left", "right"]
+            types = [pa.int64() if n in ("a", "b", "key", "node") else pa.int8() if n in ("left", "right") else pa.int32()
+                     for n in names]
             columns = list(zip(*out)) if out else [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
     return run
@@ -200,10 +204,10 @@ def repeated_passages(
     sketches = stored(plain.mapInArrow(_sketch(least, hashes), SKETCH).where(F.col("n_words") >= least_words), "sketches")
     # copies are one class, which its smallest id stands for
     classes = stored(sketches.groupBy("node").agg(F.min("id").alias("id"), F.count("*").alias("copies")), "classes")
-    heads = sketches.join(classes.select("id", "node"), ["id", "node"], "left_semi").dropDuplicates(["node"])
-    windows = heads.select("node", F.explode(F.arrays_zip("keys", "places", "lows", "highs")).alias("w")).select(
+    heads = semi_join(sketches, classes.select("id"), "id")
+    windows = heads.select("node", F.explode(F.arrays_zip("keys", "places", "lefts", "rights")).alias("w")).select(
         F.col("w.keys").alias("key"), "node", F.col("w.places").alias("place"),
-        F.col("w.lows").alias("low"), F.col("w.highs").alias("high"))
+        F.col("w.lefts").alias("left"), F.col("w.rights").alias("right"))
     items = spans = None
     while True:
         keys = stored(windows.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z"))
@@ -214,20 +218,20 @@ def repeated_passages(
         if items is None:
             needed = members.select("node").distinct().join(classes, "node").select("id")
             items = stored(semi_join(plain, stored(needed.distinct(), "needed"), "id").mapInArrow(
-                _items, "node long, items binary").dropDuplicates(["node"]), "items")
+                _items, "node long, items binary"), "items")
         led = members.join(keys, "key")
-        centres = led.where("node = a").groupBy("key").agg(F.min(F.struct("place", "low", "high")).alias("centre"))
+        centres = led.where("node = a").groupBy("key").agg(F.min(F.struct("place", "left", "right")).alias("centre"))
         seeds = (led.where("node <> a").join(centres, "key")
                  .select("a", F.col("node").alias("b"), F.struct(
-                     "key", F.col("centre.place").alias("ca"), F.col("centre.low").alias("la"), F.col("centre.high").alias("ha"),
-                     F.col("place").alias("cb"), F.col("low").alias("lb"), F.col("high").alias("hb")).alias("seed"))
+                     "key", F.col("centre.place").alias("ca"), F.col("centre.left").alias("la"), F.col("centre.right").alias("ra"),
+                     F.col("place").alias("cb"), F.col("left").alias("lb"), F.col("right").alias("rb")).alias("seed"))
                  .groupBy("a", "b").agg(F.sort_array(F.collect_set("seed")).alias("seeds")))  # at most b's windows
         found = stored(seeds.join(items.select(F.col("node").alias("a"), F.col("items").alias("items_a")), "a")
                        .join(items.select(F.col("node").alias("b"), F.col("items").alias("items_b")), "b")
                        .mapInArrow(_compare(least, percent), FOUND), "found")
         new = found.where("a is not null").select("a", "b", "start_a", "end_a", "start_b", "end_b")
         spans = new if spans is None else spans.unionByName(new)
-        windows = found.where("key is not null").select("key", "node", "place", "low", "high").distinct()
+        windows = found.where("key is not null").select("key", "node", "place", "left", "right").distinct()
 
     whole = classes.join(sketches.select("node", "n_words").distinct(), "node").where("copies > 1").select(
         "node", F.lit(0).alias("start"), F.col("n_words").cast("int").alias("end"), F.col("node").alias("other"))

@@ -76,15 +76,16 @@ def word_encoder(path: str, width: int = 2) -> Callable[[list[bytes]], list[byte
     marks = dict(zip((b"", b".", b","), ids_of(["", ".", ","])))
 
     def learn(new: set[bytes]) -> None:
-        found = {w: PLAIN.fullmatch(w) for w in new}
-        stems = list({m[1] for m in found.values() if m} - cache.keys())
+        plain = [w for w in new if w.isalpha()]  # a-z only: most of them
+        found = {w: PLAIN.fullmatch(w) for w in new.difference(plain)}
+        stems = list({m[1] for m in found.values() if m}.union(plain) - cache.keys())
         for low in range(0, len(stems), 4096):
             part = stems[low: low + 4096]
             ids = np.array(tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, kind)
             ends = ((np.flatnonzero(closing[ids]) + 1) * width).tolist()
             if len(ends) == len(part):
                 raw = ids.tobytes()
-                cache.update((w, raw[i:j]) for w, i, j in zip(part, [0, *ends], ends))
+                cache.update(zip(part, [raw[i:j] for i, j in zip([0, *ends], ends)]))
             else:
                 cache.update(zip(part, ids_of([w.decode() for w in part])))
         cache.update((w, cache[m[1]] + marks[m[2]]) for w, m in found.items() if m)

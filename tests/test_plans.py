@@ -66,13 +66,26 @@ def test_price_conditions_reach_the_scan(spark, small):
     assert re.search(r"PushedFilters: \[[^]]*GreaterThanOrEqual\(ts", plan(kept))
 
 
-@pytest.mark.parametrize("name", ["name_count_maps", "update_messages", "top_names_per_day_with_ties"])
+@pytest.mark.parametrize("name", ["name_count_maps", "top_names_per_day_with_ties"])
 def test_counts_are_made_once(spark, small, name):
     result = QUERIES[name](spark, small)
     result.collect()
     assert "ReusedExchange" in plan(result)
 
 
+def test_messages_are_exchanged_once(spark, small):
+    """On (tick, part), never on the tick alone: the sizes are measured and broadcast."""
+    result = QUERIES["update_messages"](spark, small)
+    result.collect()
+    assert re.search(r"hashpartitioning\(tick#\d+, part#", plan(result)) and "BroadcastHashJoin" in plan(result)
+
+
+def test_newest_window_is_pruned(spark, small):
+    result = QUERIES["latest_started_window"](spark, small)
+    result.collect()
+    assert re.search(r"PushedFilters: \[[^]]*GreaterThanOrEqual\(ts", plan(result))
+
+
 @pytest.mark.parametrize("name", sorted(q for q in QUERIES if not q.startswith(("stream_", "top_names_from", "written"))))
 def test_stays_in_the_jvm(spark, small, name):
     text = plan(QUERIES[name](spark, small))

@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from namewire.llm.base import components, stored, table
 
 COSINE, SLACK = 0.98, 0.02  # searches walk on over vectors this much below the range
-CELL = 768
-NEAR, FAR, POOL, BEAM, STEPS, ALPHA = 16, 8, 48, 16, 24, 1.2
+CELL = 6144
+NEAR, FAR, POOL, DEGREE, BEAM, STEPS, ALPHA = 16, 8, 48, 40, 16, 24, 1.2
 APART = 0.9  # centres of one cell are less alike than this
 AUDITED = 200
 RECALL = 0.98
@@ -140,7 +140,8 @@ def _build(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
                     lists[p].add(int(q))
         for p, near_p in zip(own, near):  # and back, so that every vector can be reached
             for q in near_p[near_p >= 0][:4]:
-                lists[int(q)].add(int(p))
+                if len(lists[int(q)]) < DEGREE:
+                    lists[int(q)].add(int(p))
     return pd.DataFrame({"node": nodes, "neighbours": [nodes[sorted(s)].tolist() for s in lists]})
 
 

@@ -6,11 +6,11 @@ compact window: a node of the Cartesian tree, with its smallest position and the
 interval that the node spans. The windows of all documents meet by their smallest shingle,
 and the intervals of two windows say how far a common passage can reach.
 
-Each such group is held against its smallest member only, and every other member is
-sent on under the place and the shingle at which the two part, to the left and to the
-right: members that share more with each other than with the centre part from it at
-the same place, with the same shingle. So groups of any size take a few rounds with one
-comparison a member, and no verbatim passage is lost; an edited one is found if one of its
+Each such group is held against its smallest member only. A member that shares no
+passage with it is sent on under the place and the shingle at which the two part, to the
+left and to the right: members that share a passage with each other, but not with the
+centre, part from it at the same place, with the same shingle. So groups of any size take a few rounds with one
+comparison a member, and no document with a verbatim passage is lost; an edited one is found if one of its
 smallest shingles and the one half a passage away are whole.
 """
 
@@ -166,22 +166,25 @@ def _compare(least: int, percent: int):
                         breaks[d] = np.r_[start - 1, other, start + n]
                     k = int(np.searchsorted(breaks[d], ca))
                     low, high = int(breaks[d][k - 1]) + 1, int(breaks[d][k])
-                    if (d, low) not in parted:
-                        # where b parts from a: others that part there alike may share more with b than a does
+                    if high - low >= least:
+                        if (d, low) in parted:
+                            continue
                         parted.add((d, low))
-                        for side, place, last in ((1, high, high - 1), (2, low - 1, low)):
-                            if 0 <= place + d < len(b):
-                                parting = np.array([na & (2 ** 64 - 1), side, place + 1, int(b[place + d])], np.uint64)
-                                key = int(shingles(parting, 4)[:1].view(np.int64)[0])
-                                out.append((None,) * 6 + (key, nb, last + d, least - 1, least - 1))
-                    elif high - low >= least:
-                        continue  # a run that has been seen
-                    if high - low < least:
+                    else:
                         if any(s <= cb < e and d == shift for s, e, shift in covered):
                             continue
                         left, right = min(seed["la"], seed["lb"], ca, cb), min(seed["ra"], seed["rb"], len(a) - 1 - ca, len(b) - 1 - cb)
                         near = near_window(a, b, ca, cb, left, right, least, percent)
                         if near is None:
+                            if (d, low) in parted:
+                                continue
+                            # where b parts from a: others that part there alike share more with b than a does
+                            parted.add((d, low))
+                            for side, place, last in ((1, high, high - 1), (2, low - 1, low)):
+                                if 0 <= place + d < len(b):
+                                    parting = np.array([na & (2 ** 64 - 1), side, place + 1, int(b[place + d])], np.uint64)
+                                    key = int(shingles(parting, 4)[:1].view(np.int64)[0])
+                                    out.append((None,) * 6 + (key, nb, last + d, least - 1, least - 1))
                             continue
                         low, high = ca - near[1], ca - near[0] + least
                     covered.append((low + d, high + d, d))

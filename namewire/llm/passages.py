@@ -6,12 +6,14 @@ compact window: a node of the Cartesian tree, with its smallest position and the
 interval that the node spans. The windows of all documents meet by their smallest shingle,
 and the intervals of two windows say how far a common passage can reach.
 
-Each such group is held against its smallest member only. A member that shares no
-passage with it is sent on under the place and the shingle at which the two part, to the
-left and to the right: members that share a passage with each other, but not with the
-centre, part from it at the same place, with the same shingle. So groups of any size take a few rounds with one
-comparison a member, and no document with a verbatim passage is lost; an edited one is found if one of its
-smallest shingles and the one half a passage away are whole.
+Each such group is held against its smallest member only. Where a member parts from it
+inside its own window, to the left or to the right, the member is sent on under the place
+and the shingle at which the two part, whether or not they share a passage: members that
+share a passage with each other that does not lie in the centre whole part from it at the
+same place, with the same shingle. The windows that are left hold the places passed so far,
+so groups of any size take a few rounds with one comparison a member, and no verbatim
+passage is lost; an edited one is found if one of its smallest shingles and the one half a
+passage away are whole.
 """
 
 from __future__ import annotations
@@ -156,9 +158,12 @@ def _compare(least: int, percent: int):
                 na, nb = batch.column("a")[row].as_py(), batch.column("b")[row].as_py()
                 breaks: dict[int, np.ndarray] = {}
                 covered: list[tuple[int, int, int]] = []
-                parted: set[tuple[int, int]] = set()
+                runs: set[tuple[int, int]] = set()
+                partings: dict[tuple[int, int, int], tuple[int, int]] = {}
                 for seed in batch.column("seeds")[row].as_py():
                     ca, cb = seed["ca"], seed["cb"]
+                    if a[ca] != b[cb]:
+                        continue  # only their keys are equal
                     d, start = cb - ca, max(0, ca - cb)
                     if d not in breaks:
                         n = min(len(a) - start, len(b) - start - d)
@@ -166,29 +171,31 @@ def _compare(least: int, percent: int):
                         breaks[d] = np.r_[start - 1, other, start + n]
                     k = int(np.searchsorted(breaks[d], ca))
                     low, high = int(breaks[d][k - 1]) + 1, int(breaks[d][k])
+                    # where b parts from a inside the windows of the seed: what b shares with others beyond, they part at alike
+                    first, last = max(0, cb - seed["lb"]), min(len(b) - 1, cb + seed["rb"])
+                    for side, place in ((1, high), (2, low - 1)):
+                        begin, end = max(first, max(cb, place + d) - least + 1), min(last, min(cb, place + d) + least - 1)
+                        if first <= place + d <= last and end - begin + 1 >= least:
+                            known = partings.get((d, side, place), (begin, end))
+                            partings[d, side, place] = min(begin, known[0]), max(end, known[1])
                     if high - low >= least:
-                        if (d, low) in parted:
+                        if (d, low) in runs:
                             continue
-                        parted.add((d, low))
+                        runs.add((d, low))
                     else:
                         if any(s <= cb < e and d == shift for s, e, shift in covered):
                             continue
                         left, right = min(seed["la"], seed["lb"], ca, cb), min(seed["ra"], seed["rb"], len(a) - 1 - ca, len(b) - 1 - cb)
                         near = near_window(a, b, ca, cb, left, right, least, percent)
                         if near is None:
-                            if (d, low) in parted:
-                                continue
-                            # where b parts from a: others that part there alike share more with b than a does
-                            parted.add((d, low))
-                            for side, place, last in ((1, high, high - 1), (2, low - 1, low)):
-                                if 0 <= place + d < len(b):
-                                    parting = np.array([na & (2 ** 64 - 1), side, place + 1, int(b[place + d])], np.uint64)
-                                    key = int(shingles(parting, 4)[:1].view(np.int64)[0])
-                                    out.append((None,) * 6 + (key, nb, last + d, least - 1, least - 1))
                             continue
                         low, high = ca - near[1], ca - near[0] + least
                     covered.append((low + d, high + d, d))
                     out.append((na, nb, low, high + SHINGLE - 1, low + d, high + d + SHINGLE - 1) + (None,) * 5)
+                for (d, side, place), (begin, end) in partings.items():
+                    parting = np.array([na & (2 ** 64 - 1), side, place + 1, int(b[place + d])], np.uint64)
+                    key = int(shingles(parting, 4)[:1].view(np.int64)[0])
+                    out.append((None,) * 6 + (key, nb, place + d, place + d - begin, end - place - d))
             names = ["a", "b", "start_a", "end_a", "start_b", "end_b", "key", "node", "place", "left", "right"]
             types = [pa.int64() if n in ("a", "b", "key", "node") else pa.int8() if n in ("left", "right") else pa.int32()
                      for n in names]

@@ -85,6 +85,19 @@ def test_near_passages(spark):
     assert {r.doc_id: r.n_repeated for r in found.collect()} == {1: 119, 2: 119}
 
 
+def test_passages_beyond_the_centre(spark):
+    """b and c share Y Z, the centre shares X Y with c and only Y with b: whichever document is the centre."""
+    rows, shared = [], {}
+    for case in range(30):
+        x, y, z = prose(1000 + case, 10), prose(2000 + case, 40), prose(3000 + case, 10)
+        for k, text in enumerate((f"{x} {y}", f"{y} {z}", f"{x} {y} {z}")):
+            at = 10 * case + k
+            rows.append((at, f"{prose(10_000 + at, 70)} {text} {prose(20_000 + at, 70)}"))
+            shared[at] = (50, 50, 60)[k]
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id: r.n_repeated for r in found.collect()} == shared
+
+
 def test_passages_awkward(awkward, nothing):
     got = sorted((r.doc_id, r.n_words) for r in passages.repeated_passages(awkward).collect())
     assert got == [(1, 120), (2, 120), (2, 120), (6, 60_000), (7, 60_001)]

@@ -1,10 +1,9 @@
 """Passages that repeat, exactly or nearly, across documents: compact windows.
 
-A text is its sequence of five-word shingles. Under a random order of shingles, all
-subsequences of at least ``SHINGLES`` shingles that have the same smallest shingle form a
-compact window: a node of the Cartesian tree, with its smallest position and the
-interval that the node spans. The windows of all documents meet by their smallest shingle,
-and the intervals of two windows say how far a common passage can reach.
+A text is its sequence of five-word shingles. Under a random order of shingles, all windows
+of ``least`` shingles with the same two smallest shingles lie next to each other: a compact
+window, with its smallest positions and the interval that it spans. The windows of all
+documents meet by their two smallest shingles, in the order of the text.
 
 Each such group is held against its smallest member only. Where a member parts from it
 inside its own window, to the left or to the right, the member is sent on under the place
@@ -12,8 +11,8 @@ and the shingle at which the two part, whether or not they share a passage: memb
 share a passage with each other that does not lie in the centre whole part from it at the
 same place, with the same shingle. The windows that are left hold the places passed so far,
 so groups of any size take a few rounds with one comparison a member, and no verbatim
-passage is lost; an edited one is found if one of its smallest shingles and the one half a
-passage away are whole.
+passage is lost; an edited one is found if under one of the orders its two smallest shingles
+are whole.
 """
 
 from __future__ import annotations
@@ -27,46 +26,39 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from namewire.llm.base import semi_join, stored, table
 from namewire.llm.words import Hasher, mix, shingles, texts
 
-SHINGLE, LEAST_WORDS, PERCENT, HASHES = 5, 50, 80, 2
+SHINGLE, LEAST_WORDS, PERCENT, HASHES = 5, 50, 80, 4
 SKETCH = "id long, node long, n_words long, keys array<long>, places array<int>, lefts array<tinyint>, rights array<tinyint>"
 FOUND = ("a long, b long, start_a int, end_a int, start_b int, end_b int,"
          " key long, node long, place int, left tinyint, right tinyint")
 
 
-def compact_windows(items: np.ndarray, at: np.ndarray, least: int, salt: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Positions of the smallest items of all windows of ``least`` items or more, with the intervals they rule.
+def compact_windows(items: np.ndarray, at: np.ndarray, least: int, salt: int) -> tuple[np.ndarray, ...]:
+    """Positions of the two smallest items of all windows of ``least`` items, in order, and the first and last places of their windows.
 
     ``items`` holds several sequences, cut at ``at``; between two sequences is one place
-    whose item is not looked at. A place is a node of the Cartesian tree whose subtree has
-    ``least`` items exactly if it is the minimum of some window of ``least`` items, and then
-    so are all nodes above it.
+    whose item is not looked at. Windows with the same two smallest items lie next to each other.
     """
     n = len(items)
     if n < least:
-        return (np.zeros(0, np.int64),) * 3
+        return (np.zeros(0, np.int64),) * 4
     low_bits = np.uint64(max(20, n.bit_length()))
+    place = (np.uint64(1) << low_bits) - np.uint64(1)
     order = (mix(items ^ mix(np.array([salt + 1], np.uint64))) >> low_bits << low_bits) | np.arange(n, dtype=np.uint64)
-    order[at] &= (np.uint64(1) << low_bits) - np.uint64(1)  # separators are smaller than all
-    smallest, width = order, 1
-    while 2 * width <= least:
-        smallest = np.minimum(smallest[:-width], smallest[width:])
-        width *= 2
-    if width < least:
-        smallest = np.minimum(smallest[: n - least + 1], smallest[least - width: least - width + n - least + 1])
-    ruling = smallest[np.r_[True, smallest[1:] != smallest[:-1]]]
-    places = (ruling & ((np.uint64(1) << low_bits) - np.uint64(1))).astype(np.int64)
-    lows, highs = [0] * len(places), [n - 1] * len(places)
-    stack: list[int] = []
-    values, where = ruling.tolist(), places.tolist()
-    for k, value in enumerate(values):
-        while stack and values[stack[-1]] > value:
-            highs[stack.pop()] = where[k] - 1
-        lows[k] = where[stack[-1]] + 1 if stack else 0
-        stack.append(k)
+    order[at] &= place  # separators are smaller than all
+    one, two, width = order, np.full(n, np.uint64(2 ** 64 - 1)), 1
+    while width < least:
+        step = min(width, least - width)
+        a, b, c, d = one[:-step], one[step:], two[:-step], two[step:]
+        one, two = np.minimum(a, b), np.where(
+            a == b, np.minimum(c, d), np.minimum(np.maximum(a, b), np.where(a < b, c, d)))
+        width += step
+    start = np.flatnonzero(np.r_[True, (one[1:] != one[:-1]) | (two[1:] != two[:-1])])
+    stop = np.r_[start[1:], len(one)] + least - 2
+    p, q = (one[start] & place).astype(np.int64), (two[start] & place).astype(np.int64)
     real = np.ones(n, bool)
     real[at] = False
-    keep = real[places]
-    return places[keep], np.array(lows, np.int64)[keep], np.array(highs, np.int64)[keep]
+    keep = real[p]
+    return np.minimum(p, q)[keep], np.maximum(p, q)[keep], start[keep], stop[keep]
 
 
 def _node(sequence: np.ndarray) -> int:
@@ -92,14 +84,10 @@ def _sketch(least: int, hashes: int):
                 items = np.concatenate([np.append(s, np.uint64(0)) for s, _ in part])
                 found = []
                 for f in range(hashes):
-                    c, low, high = compact_windows(items, ends - 1, least, f)
+                    c, other, low, high = compact_windows(items, ends - 1, least, f)
                     row = np.searchsorted(ends, c, side="right")
-                    reach = np.minimum(np.stack([c - low, high - c]), least - 1)
-                    # a passage around the place goes on for half of its least length to one side at least
-                    for side, far, there in ((0, c - least // 2, low), (1, c + least // 2, high)):
-                        inside = far >= there if side == 0 else far <= there
-                        key = mix(items[c[inside]] + mix(items[far[inside]] + np.uint64(2 * f + side))).view(np.int64)
-                        found.append(np.c_[row[inside], key, (c - (ends - lengths)[row])[inside], reach[0][inside], reach[1][inside]])
+                    key = mix(items[c] + mix(items[other] + np.uint64(f))).view(np.int64)
+                    found.append(np.c_[row, key, c - (ends - lengths)[row], c - low, high - c])
                 found = np.concatenate(found)
                 found = found[np.argsort(found[:, 0], kind="stable")]
                 cuts = pa.array(np.searchsorted(found[:, 0], np.arange(len(part) + 1)).astype(np.int32))
@@ -122,30 +110,43 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     [pa.array([_node(sequence)], pa.int64()), pa.array([sequence.astype(np.uint32).tobytes()], pa.binary())], names=["node", "items"])
 
 
-def near_window(a: np.ndarray, b: np.ndarray, ca: int, cb: int, left: int, right: int, least: int, percent: int):
-    """The offsets of the windows of ``least`` items around the pair of places that overlap by ``percent``, or None.
+def near_windows(a: np.ndarray, b: np.ndarray, ca: int, cb: int, least: int, percent: int) -> list[tuple[int, int, int, int]]:
+    """Passages around a pair of places that overlap by ``percent``: start and end in ``a``, start and end in ``b``.
 
-    Windows start equally far, at most ``left``, before both places and end at most ``right`` after them.
+    A passage has ``least`` items in one text and as many or more in the other, and starts and
+    ends with something that both have. Words put in or left out move its end, or its start.
     """
-    first, last = max(0, least - 1 - right), min(left, least - 1)
-    if first > last:
-        return None
-    part_a, part_b = a[ca - last: ca + least - first], b[cb - last: cb + least - first]
+    slack = least * (100 - percent) // percent
+    reach = least + slack - 1
+    from_a, from_b = max(0, ca - reach), max(0, cb - reach)
+    part_a, part_b = a[from_a: ca + reach + 1], b[from_b: cb + reach + 1]
     kinds_b, place_b = np.unique(part_b, return_index=True)
     kinds_a, place_a = np.unique(part_a, return_index=True)
     at = np.minimum(np.searchsorted(kinds_b, kinds_a), len(kinds_b) - 1)
     same = kinds_b[at] == kinds_a
-    i, j = place_a[same] - last, place_b[at[same]] - last
-    low, high = np.maximum(first, -np.minimum(i, j)), np.minimum(last, least - 1 - np.maximum(i, j))
-    inside = low <= high
-    steps = np.zeros(last - first + 2, np.int64)
-    np.add.at(steps, low[inside] - first, 1)
-    np.add.at(steps, high[inside] - first + 1, -1)
-    common = np.cumsum(steps)[:-1]
-    offset = np.arange(first, last + 1)
-    # a passage starts and ends with something that both have
-    good = offset[(100 * common >= percent * (2 * least - common)) & np.isin(-offset, i) & np.isin(least - 1 - offset, i)]
-    return (int(good[0]), int(good[-1])) if len(good) else None
+    i, j = place_a[same] + from_a, place_b[at[same]] + from_b
+    if 100 * len(i) < percent * (2 * least - len(i)):
+        return []
+    moves, found = j - i, []
+    kinds = [int(m) for m in np.unique(moves) if abs(m - (cb - ca)) <= slack]
+    for first in kinds:
+        starts = i[moves == first]
+        for last in kinds:
+            if abs(last - first) > slack:
+                continue
+            size_a, size_b = least + max(0, first - last), least + max(0, last - first)
+            start = starts[np.isin(starts + size_a - 1, i[moves == last])]
+            if not len(start):
+                continue
+            inside = ((i >= start[:, None]) & (i < start[:, None] + size_a)
+                      & (j >= start[:, None] + first) & (j < start[:, None] + first + size_b)).sum(1)
+            good = np.sort(start[100 * inside >= percent * (size_a + size_b - inside)])
+            if len(good):
+                cuts = np.flatnonzero(np.diff(good) > least) + 1
+                for run in np.split(good, cuts):
+                    low, high = int(run[0]), int(run[-1])
+                    found.append((low, high + size_a, low + first, high + first + size_b))
+    return found
 
 
 def _compare(least: int, percent: int):
@@ -157,7 +158,7 @@ def _compare(least: int, percent: int):
                 b = np.frombuffer(batch.column("items_b")[row].as_buffer(), np.uint32)
                 na, nb = batch.column("a")[row].as_py(), batch.column("b")[row].as_py()
                 breaks: dict[int, np.ndarray] = {}
-                covered: list[tuple[int, int, int]] = []
+                covered: list[tuple[int, int]] = []
                 runs: set[tuple[int, int]] = set()
                 partings: dict[tuple[int, int, int], tuple[int, int]] = {}
                 for seed in batch.column("seeds")[row].as_py():
@@ -179,19 +180,15 @@ def _compare(least: int, percent: int):
                             known = partings.get((d, side, place), (begin, end))
                             partings[d, side, place] = min(begin, known[0]), max(end, known[1])
                     if high - low >= least:
-                        if (d, low) in runs:
-                            continue
+                        near = [] if (d, low) in runs else [(low, high, low + d, high + d)]
                         runs.add((d, low))
+                    elif any(s <= first and last < e for s, e in covered):
+                        continue  # all that the seed can show
                     else:
-                        if any(s <= cb < e and d == shift for s, e, shift in covered):
-                            continue
-                        left, right = min(seed["la"], seed["lb"], ca, cb), min(seed["ra"], seed["rb"], len(a) - 1 - ca, len(b) - 1 - cb)
-                        near = near_window(a, b, ca, cb, left, right, least, percent)
-                        if near is None:
-                            continue
-                        low, high = ca - near[1], ca - near[0] + least
-                    covered.append((low + d, high + d, d))
-                    out.append((na, nb, low, high + SHINGLE - 1, low + d, high + d + SHINGLE - 1) + (None,) * 5)
+                        near = near_windows(a, b, ca, cb, least, percent)
+                    for start_a, end_a, start_b, end_b in near:
+                        covered.append((start_b, end_b))
+                        out.append((na, nb, start_a, end_a + SHINGLE - 1, start_b, end_b + SHINGLE - 1) + (None,) * 5)
                 for (d, side, place), (begin, end) in partings.items():
                     parting = np.array([na & (2 ** 64 - 1), side, place + 1, int(b[place + d])], np.uint64)
                     key = int(shingles(parting, 4)[:1].view(np.int64)[0])

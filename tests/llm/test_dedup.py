@@ -98,6 +98,37 @@ def test_passages_beyond_the_centre(spark):
     assert {r.doc_id: r.n_repeated for r in found.collect()} == shared
 
 
+def test_recall_of_near_passages(spark):
+    """Passages of 50 to 70 words with a word replaced, put in or left out, against all pairs of windows."""
+    def near(a, b, least=46):
+        for n in range(least, least + 12):
+            for x, y in ((least, n), (n, least)):
+                for i in range(len(a) - x + 1):
+                    for j in range(max(0, i - 6), min(len(b) - y, i + 6) + 1):
+                        if a[i] == b[j] and a[i + x - 1] == b[j + y - 1]:
+                            common = len(set(a[i: i + x]) & set(b[j: j + y]))
+                            if 100 * common >= 80 * (x + y - common):
+                                return True
+        return False
+
+    rows, wanted = [], set()
+    for case in range(300):
+        draw = random.Random(case)
+        words = prose(1000 + case, 50 + case % 21, 10 ** 9).split()
+        at, kind, other = draw.randrange(len(words) // 3, 2 * len(words) // 3), case // 21 % 3, list(words)
+        other[at: at + (kind != 1)] = [] if kind == 2 else ["edited"]
+        texts = [prose(10_000 + case, 60, 10 ** 9).split() + words + prose(20_000 + case, 60, 10 ** 9).split(),
+                 prose(30_000 + case, 60, 10 ** 9).split() + other + prose(40_000 + case, 60, 10 ** 9).split()]
+        shingled = [[tuple(t[k: k + 5]) for k in range(56, 60 + len(words) + 1)] for t in texts]
+        rows += [(2 * case + k, " ".join(t)) for k, t in enumerate(texts)]
+        if near(*shingled):
+            wanted.add(case)
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = {r.doc_id // 2 for r in found}
+    print("recall", len(got & wanted), len(wanted), "beyond", len(got - wanted))
+    assert got <= wanted and len(wanted) > 200 and len(got) >= 0.98 * len(wanted)
+
+
 def test_passages_awkward(awkward, nothing):
     got = sorted((r.doc_id, r.n_words) for r in passages.repeated_passages(awkward).collect())
     assert got == [(1, 120), (2, 120), (2, 120), (6, 60_000), (7, 60_001)]

@@ -5,7 +5,8 @@ of ``least`` shingles with the same two smallest shingles lie next to each other
 window, with its smallest positions and the interval that it spans. The windows of all
 documents meet by their two smallest shingles, in the order of the text.
 
-Each such group is held against its smallest member only. Where a member parts from it
+Each such group is held against one place of its smallest member only; further places of that
+text are members too, compared with its first place. Where a member parts from it
 inside its own window, to the left or to the right, the member is sent on under the place
 and the shingle at which the two part, whether or not they share a passage: members that
 share a passage with each other that does not lie in the centre whole part from it at the
@@ -185,7 +186,7 @@ def _compare(least: int, percent: int):
                     elif any(s <= first and last < e for s, e in covered):
                         continue  # all that the seed can show
                     else:
-                        near = near_windows(a, b, ca, cb, least, percent)
+                        near = near_windows(a, b, ca, cb, least, percent) if na != nb else []
                     for start_a, end_a, start_b, end_b in near:
                         covered.append((start_b, end_b))
                         out.append((na, nb, start_a, end_a + SHINGLE - 1, start_b, end_b + SHINGLE - 1) + (None,) * 5)
@@ -234,11 +235,11 @@ def repeated_passages(
             items = stored(semi_join(plain, stored(needed.distinct(), "needed"), "id").mapInArrow(
                 _items, "node long, items binary"), "items")
         led = members.join(keys, "key")
-        centres = led.where("node = a").groupBy("key").agg(F.min(F.struct("place", "left", "right")).alias("centre"))
-        seeds = (led.where("node <> a").join(centres, "key")
+        centres = led.where("node = a").groupBy("key").agg(F.min("place").alias("ca"))
+        # the centre's further places are members like those of others
+        seeds = (led.join(centres, "key").where("node <> a or place <> ca")
                  .select("a", F.col("node").alias("b"), F.struct(
-                     "key", F.col("centre.place").alias("ca"), F.col("centre.left").alias("la"), F.col("centre.right").alias("ra"),
-                     F.col("place").alias("cb"), F.col("left").alias("lb"), F.col("right").alias("rb")).alias("seed"))
+                     "key", "ca", F.col("place").alias("cb"), F.col("left").alias("lb"), F.col("right").alias("rb")).alias("seed"))
                  .groupBy("a", "b").agg(F.sort_array(F.collect_set("seed")).alias("seeds")))  # at most b's windows
         found = stored(seeds.join(items.select(F.col("node").alias("a"), F.col("items").alias("items_a")), "a")
                        .join(items.select(F.col("node").alias("b"), F.col("items").alias("items_b")), "b")
@@ -249,8 +250,16 @@ def repeated_passages(
 
     whole = classes.join(sketches.select("node", "n_words").distinct(), "node").where("copies > 1").select(
         "node", F.lit(0).alias("start"), F.col("n_words").cast("int").alias("end"), F.col("node").alias("other"))
-    both = whole if spans is None else whole.union(
-        spans.selectExpr("a", "start_a", "end_a", "b")).union(spans.selectExpr("b", "start_b", "end_b", "a"))
+    both = whole
+    if spans is not None:
+        spans = stored(spans, "spans")
+        both = whole.union(spans.where("a <> b").selectExpr("a", "start_a", "end_a", "b")).union(
+            spans.where("a <> b").selectExpr("b", "start_b", "end_b", "a"))
+        # what a text has twice is shared twice
+        twice = spans.where("a = b").selectExpr("a as node", "start_a", "end_a", "start_b - start_a as move").distinct()
+        both = both.union(both.join(twice, "node").selectExpr(
+            "node", "greatest(start, start_a) + move as start", "least(end, end_a) + move as end", "other")
+            .where(F.col("end") - F.col("start") >= least_words))
     ids = classes.select(F.col("node").alias("other"), F.col("id").alias("partner"))
     partners = both.select("node", "other").distinct().join(ids, "other").groupBy("node").agg(F.min("partner").alias("partner"))
     merged = F.aggregate(

@@ -129,6 +129,26 @@ def test_recall_of_near_passages(spark):
     assert got <= wanted and len(wanted) > 200 and len(got) >= 0.98 * len(wanted)
 
 
+def test_passages_at_further_places_of_the_centre(spark):
+    """Every document has a line several times; two share a passage around a later one, or have a passage twice."""
+    rows, shared = [], {}
+    for case in range(30):
+        line, x, y = prose(1000 + case, 40), prose(2000 + case, 8), prose(3000 + case, 8)
+        fill = [prose(10_000 + 10 * case + k, 60) for k in range(8)]
+        rows += [(10 * case, f"{fill[0]} {line} {fill[1]} {x} {line} {y} {fill[2]}"), (10 * case + 1, f"{fill[3]} {x} {line} {y} {fill[4]}"),
+                 (10 * case + 2, f"{fill[5]} {line} {y} {fill[6]} {line} {fill[7]} {x} {line} {y}")]
+        shared |= {10 * case: 56, 10 * case + 1: 56, 10 * case + 2: 56}
+        whole = f"{line} {x} {y}"
+        again = [prose(20_000 + 10 * case + k, 60) for k in range(5)]
+        rows += [(10 * case + 5, f"{again[0]} {whole} {again[1]} {whole} {again[2]}"), (10 * case + 6, f"{again[3]} {whole} {again[4]}")]
+        if case % 2:  # in both, the passage; in the others, in one document only
+            shared |= {10 * case + 5: 112, 10 * case + 6: 56}
+        else:
+            rows[-1] = (10 * case + 6, f"{again[3]} {again[4]}")
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id: r.n_repeated for r in found.collect()} == {k: n for k, n in shared.items()}
+
+
 def test_passages_awkward(awkward, nothing):
     got = sorted((r.doc_id, r.n_words) for r in passages.repeated_passages(awkward).collect())
     assert got == [(1, 120), (2, 120), (2, 120), (6, 60_000), (7, 60_001)]

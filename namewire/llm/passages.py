@@ -150,31 +150,40 @@ def near_windows(a: np.ndarray, b: np.ndarray, ca: int, cb: int, least: int, per
     return found
 
 
+def alike(a: np.ndarray, b: np.ndarray) -> int:
+    """How many items ``a`` and ``b`` start with alike."""
+    n, done, step = min(len(a), len(b)), 0, 64
+    while done < n:
+        other = a[done: min(n, done + step)] != b[done: min(n, done + step)]
+        first = int(other.argmax())
+        if other[first]:
+            return done + first
+        done, step = done + step, 4 * step
+    return n
+
+
 def _compare(least: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
+            seeds = batch.column("seeds")
+            cuts = seeds.offsets.to_pylist()
+            seed_a, seed_b, lefts, rights = (seeds.values.field(k).to_pylist() for k in ("ca", "cb", "lb", "rb"))
             for row in range(len(batch)):
                 a = np.frombuffer(batch.column("items_a")[row].as_buffer(), np.uint32)
                 b = np.frombuffer(batch.column("items_b")[row].as_buffer(), np.uint32)
                 na, nb = batch.column("a")[row].as_py(), batch.column("b")[row].as_py()
-                breaks: dict[int, np.ndarray] = {}
                 covered: list[tuple[int, int]] = []
                 runs: set[tuple[int, int]] = set()
                 partings: dict[tuple[int, int, int], tuple[int, int]] = {}
-                for seed in batch.column("seeds")[row].as_py():
-                    ca, cb = seed["ca"], seed["cb"]
+                for at in range(cuts[row], cuts[row + 1]):
+                    ca, cb = seed_a[at], seed_b[at]
                     if a[ca] != b[cb]:
                         continue  # only their keys are equal
-                    d, start = cb - ca, max(0, ca - cb)
-                    if d not in breaks:
-                        n = min(len(a) - start, len(b) - start - d)
-                        other = np.flatnonzero(a[start: start + n] != b[start + d: start + d + n]) + start
-                        breaks[d] = np.r_[start - 1, other, start + n]
-                    k = int(np.searchsorted(breaks[d], ca))
-                    low, high = int(breaks[d][k - 1]) + 1, int(breaks[d][k])
+                    d = cb - ca
+                    low, high = ca - alike(a[:ca][::-1], b[:cb][::-1]), ca + alike(a[ca:], b[cb:])
                     # where b parts from a inside the windows of the seed: what b shares with others beyond, they part at alike
-                    first, last = max(0, cb - seed["lb"]), min(len(b) - 1, cb + seed["rb"])
+                    first, last = max(0, cb - lefts[at]), min(len(b) - 1, cb + rights[at])
                     for side, place in ((1, high), (2, low - 1)):
                         begin, end = max(first, max(cb, place + d) - least + 1), min(last, min(cb, place + d) + least - 1)
                         if first <= place + d <= last and end - begin + 1 >= least:

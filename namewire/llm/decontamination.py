@@ -2,8 +2,10 @@
 
 Numbers, names and units become typed placeholders, so a question with other numbers or
 names has the same template. Documents and items meet in windows of template words; a
-window counts if the values behind its placeholders are consistent, that is one value
-of the item always stands for one value of the document.
+window counts if its values are the item's own, or if the values behind its placeholders
+are consistent, that is one value of the item always stands for one value of the document.
+A placeholder at the window's edge is left out of that, as its run of numbers or names may
+go on outside the passage.
 
 A bitmap of fixed size, made from the items' windows, lets the tasks drop the windows
 that no item has; what is left is joined by hash.
@@ -27,7 +29,7 @@ UNITS = """m km cm mm kg g mg lb oz l ml s ms h hr min hour hours minute minutes
 month months year years meter meters metre metres mile miles foot feet inch inches gram grams kilogram kilograms pound
 pounds liter liters litre litres dollar dollars euro euros cent cents percent degree degrees""".split()
 LITERAL, NUMBER, NAME, UNIT = range(4)
-WINDOWS = "id long, place long, size int, window long, slots array<long>"
+WINDOWS = "id long, place long, size int, window long, slots array<long>, inner array<long>"
 
 
 class Templates:
@@ -73,7 +75,7 @@ class Templates:
             yield np.where(own == LITERAL, values, self.marks[own]), own, values
 
     def windows(self, data: np.ndarray, offsets: np.ndarray, sizes: list[int], wanted: np.ndarray | None, whole: int = 0):
-        """Row, place, size, hash and placeholder values of the windows that are at least half literal."""
+        """Row, place, size, hash, placeholder values and those away from the edge of the windows that are at least half literal."""
         for row, (words, kinds, values) in enumerate(self.rows(data, offsets)):
             literal = np.r_[0, np.cumsum(kinds == LITERAL)]
             for size in ([min(whole, len(words))] if whole else sizes):
@@ -86,7 +88,8 @@ class Templates:
                     good &= (wanted[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
                 for p in np.flatnonzero(good):
                     slot = kinds[p: p + size] != LITERAL
-                    yield row, p, size, int(hashes[p: p + 1].view(np.int64)[0]), values[p: p + size][slot].view(np.int64)
+                    own = values[p: p + size].view(np.int64)
+                    yield row, p, size, int(hashes[p: p + 1].view(np.int64)[0]), own[slot], own[1:-1][slot[1:-1]]
 
 
 def _windows(sizes: list[int], wanted: np.ndarray | None, whole: int = 0):
@@ -97,11 +100,12 @@ def _windows(sizes: list[int], wanted: np.ndarray | None, whole: int = 0):
             for low, high, data, offsets in texts(batch.column("text")):
                 found = list(templates.windows(data, offsets, sizes, wanted, whole))
                 if found:
-                    rows, places, lengths, hashes, slots = zip(*found)
+                    rows, places, lengths, hashes, slots, inner = zip(*found)
                     yield pa.RecordBatch.from_arrays(
                         [ids.take(pa.array(rows) if not low else pa.array(np.array(rows) + low)),
                          pa.array(places, pa.int64()), pa.array(lengths, pa.int32()), pa.array(hashes, pa.int64()),
-                         pa.array(slots, pa.list_(pa.int64()))], names=["id", "place", "size", "window", "slots"])
+                         pa.array(slots, pa.list_(pa.int64())), pa.array(inner, pa.list_(pa.int64()))],
+                        names=["id", "place", "size", "window", "slots", "inner"])
     return run
 
 
@@ -127,17 +131,12 @@ def contaminated(
 
     plain = documents.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text")).where("id is not null")
     found = plain.mapInArrow(_windows(sizes, wanted), WINDOWS)
-    items = known.select("window", "size", F.col("id").alias("item_id"), F.col("place").alias("item_place"),
-                         F.col("slots").alias("item_slots"))
+    items = known.select("window", "size", F.col("id").alias("item_id"), F.col("slots").alias("item_slots"), F.col("inner").alias("item_inner"))
     few = known.count() <= BROADCAST_WINDOWS
-    hits = stored(found.join(F.broadcast(items) if few else items, ["window", "size"])
-                  .withColumn("shift", F.col("place") - F.col("item_place")), "hits")
-    passage = ["id", "item_id", "shift"]
-    torn = (hits.where("size(slots) > 0")
-            .select(*passage, F.explode(F.arrays_zip("slots", "item_slots")).alias("slot"))
-            .groupBy(*passage, "slot.item_slots").agg(F.min("slot.slots").alias("low"), F.max("slot.slots").alias("high"))
-            .where("low <> high").select(*passage).distinct())
-    return (hits.join(torn, passage, "left_anti")
+    pairs = F.array_distinct(F.arrays_zip("item_inner", "inner"))
+    consistent = F.size(pairs) == F.size(F.array_distinct("item_inner"))
+    return (found.join(F.broadcast(items) if few else items, ["window", "size"])
+            .where((F.col("slots") == F.col("item_slots")) | consistent)
             .groupBy(F.col("id").alias("doc_id"), "item_id")
             .agg(F.count_distinct("place", "size").alias("n_windows"), F.min("place").alias("first_word"),
                  F.bool_and(F.col("slots") == F.col("item_slots")).alias("verbatim")))

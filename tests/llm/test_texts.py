@@ -129,6 +129,21 @@ def test_decontamination(spark, awkward, nothing):
     assert decontamination.contaminated(documents, benchmark.limit(0)).count() == 0
 
 
+def test_decontamination_of_torn_copies(spark):
+    """One of two equal values is changed, or a number at the edge goes on; the rest is the item's words."""
+    words = [f"plain{k}" for k in range(96)]
+    item = " ".join(words[:20] + ["55"] + words[20:60] + ["55"] + words[60:] )
+    edge = " ".join(words[:5] + ["17"] + words[5:15] + ["17"])
+    # an inconsistent window, and no other, is no copy
+    torn = "the sum of 4 and also of 4 is told by all"
+    documents = spark.createDataFrame([
+        (1, item[::-1].replace("55", "16", 1)[::-1]), (2, f"{edge} 99 and more words"), (3, "the sum of 5 and also of 6 is told by all"),
+        (4, "the sum of 5 and also of 5 is told by all")], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, item), (2, edge), (3, torn)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontamination.contaminated(documents, benchmark).collect()}
+    assert {(1, 1), (2, 2), (4, 3)} <= got and (3, 3) not in got
+
+
 def test_mixing_matches_sql(spark, small):
     frame = mixing.op3_mixing(spark, small).toPandas()
     con = duckdb.connect()

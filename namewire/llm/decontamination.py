@@ -5,7 +5,8 @@ names has the same template. Documents and items meet in windows of template wor
 window counts if its values are the item's own, or if the values behind its placeholders
 are consistent, that is one value of the item always stands for one value of the document.
 A placeholder at the window's edge is left out of that, as its run of numbers or names may
-go on outside the passage.
+go on outside the passage. What of an item has no such window, as it is short or made mainly
+of numbers and names, is looked for word by word, in windows of raw words.
 
 A bitmap of fixed size, made from the items' windows, lets the tasks drop the windows
 that no item has; what is left is joined by hash.
@@ -42,12 +43,12 @@ class Templates:
         self.units = np.sort(self.hasher.words(data, np.array([0, len(data)]))[0])
         self.marks = mix(np.arange(1, 5, dtype=np.uint64) << np.uint64(60))
 
-    def rows(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Per text: hashes of the template words, their kinds, and the hashes of what they stand for."""
+    def rows(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """Per text: hashes of the template words, their kinds, the hashes of what they stand for, of the raw words, and the first raw word of each."""
         words, starts, ends, at = self.hasher.words(data, offsets)
         if len(words) == 0:
             for _ in range(len(offsets) - 1):
-                yield words, np.zeros(0, np.int8), words
+                yield words, np.zeros(0, np.int8), words, words, np.zeros(0, np.int64)
             return
         digit = np.r_[0, np.cumsum((data >= 48) & (data <= 57))]
         stop = np.r_[0, np.cumsum(np.isin(data, np.frombuffer(b".!?\n", np.uint8)))]
@@ -72,33 +73,58 @@ class Templates:
             first = np.flatnonzero(new)
             values = np.add.reduceat(raw, first) if len(first) else raw
             own = own[first]
-            yield np.where(own == LITERAL, values, self.marks[own]), own, values
-
-    def windows(self, data: np.ndarray, offsets: np.ndarray, sizes: list[int], wanted: np.ndarray | None, whole: int = 0):
-        """Row, place, size, hash, placeholder values and those away from the edge of the windows that are at least half literal."""
-        for row, (words, kinds, values) in enumerate(self.rows(data, offsets)):
+            yield np.where(own == LITERAL, values, self.marks[own]), own, values, raw, first
+
+    def windows(self, data: np.ndarray, offsets: np.ndarray, sizes: list[int], exact: list[int], wanted: np.ndarray | None, whole: int = 0):
+        """Row, place, size, hash, placeholder values and those away from the edge of the windows that are at least half literal.
+
+        Exact windows, of raw words, have a size below zero and no placeholders. With
+        ``whole`` they are those of what no other window holds.
+        """
+        def has(hashes: np.ndarray) -> np.ndarray:
+            if wanted is None:
+                return np.ones(len(hashes), bool)
+            bit = hashes >> np.uint64(64 - FILTER_BITS)
+            return (wanted[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+        none = np.zeros(0, np.int64)
+        for row, (words, kinds, values, raw, first) in enumerate(self.rows(data, offsets)):
             literal = np.r_[0, np.cumsum(kinds == LITERAL)]
+            last = np.r_[first[1:], len(raw)]
+            rejected = [(0, len(raw))] if whole and 0 < len(words) < LEAST else []
             for size in ([min(whole, len(words))] if whole else sizes):
                 if len(words) < size or size < LEAST:
                     continue
                 hashes = shingles(words, size)
-                good = 2 * (literal[size:] - literal[:-size]) >= size
-                if wanted is not None:
-                    bit = hashes >> np.uint64(64 - FILTER_BITS)
-                    good &= (wanted[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
-                for p in np.flatnonzero(good):
+                enough = 2 * (literal[size:] - literal[:-size]) >= size
+                if whole:
+                    rejected += [(int(first[p]), int(last[p + size - 1])) for p in np.flatnonzero(~enough)]
+                for p in np.flatnonzero(enough & has(hashes)):
                     slot = kinds[p: p + size] != LITERAL
                     own = values[p: p + size].view(np.int64)
                     yield row, p, size, int(hashes[p: p + 1].view(np.int64)[0]), own[slot], own[1:-1][slot[1:-1]]
+            for size in {min(whole, high - low) for low, high in rejected} if whole else exact:
+                if len(raw) < size:
+                    continue
+                hashes = mix(shingles(raw, size) + np.uint64(1))
+                good = has(hashes)
+                if whole:
+                    good[:] = False
+                    for low, high in rejected:
+                        if min(whole, high - low) == size:
+                            good[low: high - size + 1] = True
+                for p in np.flatnonzero(good):
+                    place = int(np.searchsorted(first, p, side="right")) - 1
+                    yield row, place, -size, int(hashes[p: p + 1].view(np.int64)[0]), none, none
 
 
-def _windows(sizes: list[int], wanted: np.ndarray | None, whole: int = 0):
+def _windows(sizes: list[int], exact: list[int], wanted: np.ndarray | None, whole: int = 0):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         templates = Templates()
         for batch in batches:
             ids = batch.column("id")
             for low, high, data, offsets in texts(batch.column("text")):
-                found = list(templates.windows(data, offsets, sizes, wanted, whole))
+                found = list(templates.windows(data, offsets, sizes, exact, wanted, whole))
                 if found:
                     rows, places, lengths, hashes, slots, inner = zip(*found)
                     yield pa.RecordBatch.from_arrays(
@@ -117,20 +143,20 @@ def contaminated(
 
     Returns ``doc_id``, ``item_id``, ``n_windows``, ``first_word`` (place among the
     document's template words) and ``verbatim`` for each such pair, and nothing for clean
-    documents. Items of ``LEAST`` to ``window`` template words are looked for whole, shorter
-    ones not at all. Null texts hold nothing; rows without an id cannot be named and are
+    documents. Items of ``LEAST`` to ``window`` template words are looked for whole, and shorter
+    ones verbatim; so are windows that are less than half literal. Null texts hold nothing; rows without an id cannot be named and are
     left out; rows that repeat an id are reported together; empty tables give no row.
     """
     spark = documents.sparkSession
     items = benchmark.select(F.col(item_column).cast("long").alias("id"), F.col(item_text).alias("text")).where("id is not null")
-    known = stored(items.mapInArrow(_windows([], None, window), WINDOWS).distinct(), "item-windows")
-    sizes = sorted(r["size"] for r in known.select("size").distinct().collect())  # at most window - LEAST + 1
+    known = stored(items.mapInArrow(_windows([], [], None, window), WINDOWS).distinct(), "item-windows")
+    sizes = sorted(r["size"] for r in known.select("size").distinct().collect())  # at most 2 * window - LEAST + 1
     bits = known.select(F.shiftrightunsigned("window", 64 - FILTER_BITS).alias("bit")).distinct().toArrow()["bit"].to_numpy()
     wanted = np.zeros(1 << FILTER_BITS - 3, np.uint8)
     np.bitwise_or.at(wanted, bits >> 3, (1 << (bits & 7)).astype(np.uint8))
 
     plain = documents.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text")).where("id is not null")
-    found = plain.mapInArrow(_windows(sizes, wanted), WINDOWS)
+    found = plain.mapInArrow(_windows([n for n in sizes if n > 0], [-n for n in sizes if n < 0], wanted), WINDOWS)
     items = known.select("window", "size", F.col("id").alias("item_id"), F.col("slots").alias("item_slots"), F.col("inner").alias("item_inner"))
     few = known.count() <= BROADCAST_WINDOWS
     pairs = F.array_distinct(F.arrays_zip("item_inner", "inner"))

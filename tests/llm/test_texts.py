@@ -144,6 +144,16 @@ def test_decontamination_of_torn_copies(spark):
     assert {(1, 1), (2, 2), (4, 3)} <= got and (3, 3) not in got
 
 
+def test_decontamination_of_numbers_and_names(spark):
+    """Items made mainly of numbers or names, or shorter than six words, are found when copied."""
+    sums, names = "12 + 5 = 17, 3 + 9 = 12", "seen were Ann 3 Bob 4 Cid 5 Dan 6 Eve 7 Fay 8 Gus 9 Hal 10"
+    documents = spark.createDataFrame([(1, f"Here is {sums}, he said"), (2, f"Here {names} and others"), (3, "so What is love? they ask"),
+                                       (4, "Here is 12 + 5 = 17, 3 + 9 = 13"), (5, "what is it")], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, sums), (2, names), (3, "What is love?"), (4, ""), (5, None)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.verbatim) for r in decontamination.contaminated(documents, benchmark).collect()}
+    assert got == {(1, 1, True), (2, 2, True), (3, 3, True)}
+
+
 def test_mixing_matches_sql(spark, small):
     frame = mixing.op3_mixing(spark, small).toPandas()
     con = duckdb.connect()

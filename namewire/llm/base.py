@@ -11,10 +11,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """The rows written to the shared folder and read again: computed once, lineage cut."""
+def stored(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
+    """The rows written to the shared folder and read again: computed once, lineage cut.
+
+    With ``by``, rows of each value of that column lie apart, and a condition on it reads only its own.
+    """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -5,7 +5,7 @@ from namewire.llm.queries import ORACLE, QUERIES
 
 
 def test_queries():
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{k}" for k in range(1, 14)]
     assert set(ORACLE) <= set(QUERIES)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from namewire.operators.asof import asof_join, integrate_over
 from namewire.operators.sizing import lookup_join
 
 
@@ -19,6 +20,21 @@ def run_cost(runs: DataFrame, prices: DataFrame, on: list[str] | None = None) ->
     return priced.withColumn("cost", cost)
 
 
+def cost_at_start(runs: DataFrame, prices: DataFrame, on: list[str] | None = None, tie: str | None = None) -> DataFrame:
+    """The hourly price at each run's start (``started``) and the cost at that price; null before the first price."""
+    priced = asof_join(runs, prices, on or ["instance_type", "zone"], "started", tie=tie)
+    return priced.withColumn("cost", F.col("runtime_min") / 60 * F.col("instances") * F.col("price"))
+
+
+def cost_over_prices(runs: DataFrame, prices: DataFrame, on: list[str] | None = None, tie: str | None = None) -> DataFrame:
+    """The cost of each run from ``started`` to ``ended`` at the prices that held meanwhile.
+
+    ``covered_hours`` is how much of the run lies after the first known price; the cost is that of these hours.
+    """
+    out = integrate_over(runs, prices, on or ["instance_type", "zone"], "started", "ended", tie=tie)
+    return out.withColumn("cost", F.col("price_hours") * F.col("instances"))
+
+
 def cheapest_config(costs: DataFrame) -> DataFrame:
     """Configuration of least mean cost for each data size."""
     config = ["data_size", "instance_type", "instances"]

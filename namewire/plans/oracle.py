@@ -65,6 +65,12 @@ RUNS = f"""runs as (
     o_custkey % 5 + 1 as instances, o_orderpriority as data_size, o_totalprice / 1000 as runtime_min
   from orders)"""
 
+TIMED_RUNS = f"""{RUNS}, timed as (
+  select *, concat('us-east-', substr(instance_type, 2)::int % 2 + 1, ['a', 'b', 'c'][run_id % 3 + 1]) as zone,
+    started + to_seconds(floor(runtime_min * 60)) as ended
+  from (select runs.*, origin + to_seconds(run_id * 7919 % span) as started
+    from runs, (select min(ts) as origin, (floor(epoch(max(ts))) - floor(epoch(min(ts))))::bigint as span from events)))"""
+
 COSTS = f"""{CHEAPEST}, {RUNS}, costs as (
   select run_id, instance_type, instances, data_size, runtime_min,
     runtime_min / 60 * instances * min_price as cost

@@ -544,6 +544,31 @@ def run_cost_by_region(spark, d):
     return runs.run_cost(done, cheapest, on=["instance_type", "region"]).select("run_id", "instance_type", "region", "cost")
 
 
+@query(f"""with {oracle.PRICES}, {oracle.TIMED_RUNS}
+select run_id, t.instance_type, t.zone, strftime(started, '%Y-%m-%d %H:%M:%S.%f') as started, p.price,
+  runtime_min / 60 * instances * p.price as cost
+from timed t asof left join prices p on t.instance_type = p.instance_type and t.zone = p.zone and t.started >= p.ts""")
+def run_cost_at_start(spark, d):
+    """Runs are priced at what their type cost in their zone when they began."""
+    out = runs.cost_at_start(tables.timed_runs(spark, d), tables.prices(spark, d), tie="event_id")
+    return out.select("run_id", "instance_type", "zone", F.date_format("started", MICRO).alias("started"), "price", "cost")
+
+
+@query(f"""with {oracle.PRICES}, {oracle.TIMED_RUNS}, held as (
+  select instance_type, zone, price, ts as low, lead(ts, 1, timestamp '9999-01-01') over (
+    partition by instance_type, zone order by ts) as high from prices),
+met as (select run_id, epoch_us(least(ended, high)) - epoch_us(greatest(started, low)) as micros, price
+  from timed t join held h on t.instance_type = h.instance_type and t.zone = h.zone and low < ended and high > started)
+select t.run_id, t.instance_type, t.zone, round(coalesce(sum(micros) / 3.6e9, 0) + 1e-9, 6) as covered_hours,
+  round(coalesce(sum(micros / 3.6e9 * price), 0) * any_value(instances) + 1e-9, 6) as cost
+from timed t left join met using (run_id) group by all""")
+def run_cost_over_prices(spark, d):
+    """Runs pay the price of the hour, as it changes while they run. Rounded off the exact halves, which sums miss by a bit."""
+    out = runs.cost_over_prices(tables.timed_runs(spark, d), tables.prices(spark, d), tie="event_id")
+    return out.select("run_id", "instance_type", "zone", F.round(F.col("covered_hours") + 1e-9, 6).alias("covered_hours"),
+                      F.round(F.col("cost") + 1e-9, 6).alias("cost"))
+
+
 @query(f"""with {oracle.COSTS}, means as (
   select data_size, instance_type, instances, avg(cost) as cost from costs group by all)
 select data_size, instance_type, instances, round(cost, 6) as cost from means

@@ -105,6 +105,19 @@ def runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def timed_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """The runs with a zone and with a start and an end, spread over the time that the prices cover."""
+    clock = table(spark, folder, "events").agg(
+        F.unix_micros(F.min("ts")).alias("origin"), (F.unix_seconds(F.max("ts")) - F.unix_seconds(F.min("ts"))).alias("span"))
+    number = F.col("run_id")
+    letter = F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit("c")), (number % 3 + 1).cast("int"))
+    region = F.substring("instance_type", 2, 9).cast("int") % 2 + 1
+    begin = clock.select("origin").scalar() + number * 7919 % clock.select("span").scalar() * 1_000_000
+    return runs(spark, folder).select(
+        "*", F.concat(F.lit("us-east-"), region, letter).alias("zone"), F.timestamp_micros(begin).alias("started"),
+        F.timestamp_micros(begin + F.floor(F.col("runtime_min") * 60) * 1_000_000).alias("ended"))
+
+
 def stages(spark: SparkSession, folder: str) -> DataFrame:
     """A stage per order line."""
     return table(spark, folder, "lineitem").select(

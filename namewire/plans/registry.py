@@ -343,7 +343,7 @@ def _keyed_events(spark: SparkSession, d: str) -> DataFrame:
         F.concat_ws("-", F.date_format("ts", "yyyyMMddHHmmss"), "event_id").alias("key"))
 
 
-@query(f"""with recursive {oracle.CHANGELOG}, log as (
+BOUNDED = f"""with recursive {oracle.CHANGELOG}, log as (
   select cast(name as bigint) % 16 as bucket, seq, name, cnt,
     row_number() over (partition by cast(name as bigint) % 16 order by seq, name) as rn from changelog),
 replay as (
@@ -358,7 +358,10 @@ replay as (
         len(r.held) < 5 as room, list_contains(list_transform(r.held, lambda x: x.n), l.name) as known
       from replay r join log l on l.bucket = r.bucket and l.rn = r.rn + 1)))
 select bucket::int as bucket, seq, name, cnt, false as evicted from replay where taken
-union all select bucket::int, seq, gone, 0, true from replay where gone is not null""")
+union all select bucket::int, seq, gone, 0, true from replay where gone is not null"""
+
+
+@query(BOUNDED)
 def bounded_topk(spark, d):
     """Five names a bucket, so that names are evicted."""
     return bounded.bounded_topk(
@@ -684,14 +687,3 @@ def stream_daily_top_names(spark, d):
     counts = log.groupBy(F.date_format("window_start", "yyyyMMdd").alias("publish_date"), "name").agg(
         F.max_by("cnt", "epoch").alias("cnt"))
     return ranking.top_names(counts)
-
-
-@query()
-def stream_bounded_topk(spark, d):
-    root = scratch_path(spark, "topk")
-    events = _event_stream(spark, d).select("ts", F.col("user_id").cast("string").alias("name"))
-    buffer = live.BoundedTopK(f"{root}/buffer", capacity=5, buckets=16)
-    live.start_bounded_topk(
-        live_mentions.live_hopping_counts(events), buffer, f"{root}/checkpoint", {"availableNow": True}
-    ).awaitTermination()
-    return buffer.top(spark)

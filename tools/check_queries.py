@@ -10,6 +10,7 @@ import duckdb
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+import namewire.plans.live_queries  # noqa: E402, F401
 from namewire.plans.registry import ORACLE, QUERIES  # noqa: E402
 from namewire.session import build_session  # noqa: E402
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from namewire.functions.text import clean_utf8, line_field, mention_name
 from namewire.functions.times import publish_day
@@ -29,16 +29,22 @@ def explode_names(rows: DataFrame, entries: str | Column, keep: list[str | Colum
     )
 
 
-def names_by_date(lines: DataFrame, value: str = "value", clean: bool = False) -> DataFrame:
-    """(publish_date, name) for every mention in a valid, dated line."""
+def names_by_date(
+    lines: DataFrame, value: str = "value", clean: bool = False, observed: Observation | str | None = None,
+    keep: list[str] | None = None,
+) -> DataFrame:
+    """(publish_date, name) for every mention in a valid, dated line, with the columns to ``keep``.
+
+    ``observed`` counts kept and rejected lines on the way (see ``valid_rows``).
+    """
     # The date is read off the front of the line: as a filter it runs beside the field
     # count, where a second split of the whole line would cost more than the first.
     day = publish_day(line_field(value, PUBLISH_DATE))
-    rows = valid_rows(lines, value).where(day.isNotNull()).select(
-        day.alias("publish_date"), F.get("fields", F.lit(ALL_NAMES)).alias("_names")
+    rows = valid_rows(lines, value, observed).where(day.isNotNull()).select(
+        day.alias("publish_date"), *(keep or []), F.get("fields", F.lit(ALL_NAMES)).alias("_names")
     )
     entries = clean_utf8("_names") if clean else F.col("_names")
-    return explode_names(rows, entries, ["publish_date"])
+    return explode_names(rows, entries, ["publish_date", *(keep or [])])
 
 
 def drop_names(rows: DataFrame, stop_list: DataFrame, name: str = "name") -> DataFrame:

@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from namewire.functions import numbers, text, times
 from namewire.operators import (
     bounded, changelog, event_time, interpolation, names, prices, ranking, rows, runs, trends, windows,
 )
 from namewire.plans import daily, oracle
-from namewire.schema import FIRST_MARK
+from namewire.schema import FIRST_MARK, article_schema
 from namewire.session import scratch_path
-from namewire.sinks import ranked, topics
+from namewire.sinks import days, ranked, topics
 from namewire.sources import articles, counts as count_source, prices as price_source, segments, tables
 from namewire.streaming import live, mentions as live_mentions
 
@@ -96,16 +96,39 @@ def name_count_maps(spark, d):
     )
 
 
-@query(f"""with {oracle.LINES}
+ROW_QUALITY = f"""with {oracle.LINES}
 select case when len(string_split(value, chr(9))) <> 27 then 'wrong_field_count'
     when try_strptime(substr(string_split(value, chr(9))[2], 1, 8), '%Y%m%d') is null then 'unknown_date'
     when string_split(value, chr(9))[24] = '' then 'no_names' else 'kept' end as outcome,
   count(*) as rows
-from lines group by outcome""")
+from lines group by outcome"""
+
+
+@query(ROW_QUALITY)
 def row_quality(spark, d):
     return rows.row_quality(tables.article_lines(spark, d))
 
 
+@query(ROW_QUALITY)
+def ranking_quality(spark, d):
+    """Lines kept and rejected, counted by the very job that ranks their names."""
+    seen = Observation("quality")
+    ranked.write_ranked(daily.daily_top_names(tables.article_lines(spark, d), observed=seen), scratch_path(spark, "ranked"))
+    return rows.quality_rows(spark, seen.get)
+
+
+@query(TOP)
+def incremental_top_names(spark, d):
+    """Two thirds of the segments, then the rest with some of the first again, then that once more."""
+    root = scratch_path(spark, "days")
+    lines = tables.segment_lines(spark, d).select(F.col("file").alias("segment"), "value")
+    draw = F.crc32(F.col("segment").cast("binary"))
+    first, second = draw % 3 != 0, (draw % 3 == 0) | (draw % 5 == 0)
+    for some in (first, second, second):
+        days.add_segments(lines.where(some), root)
+    return days.read_days(spark, root)
+
+
 @query(f"""with {oracle.LINES}, {oracle.VALID}
 select event_id, len(f) as fields, f[1] as record_id, length(f[24]) as names_length from valid""")
 def valid_rows(spark, d):
@@ -116,18 +139,36 @@ def valid_rows(spark, d):
     )
 
 
-@query(f"""with {oracle.LINES}, {oracle.VALID}
+ARTICLE_TABLE = f"""with {oracle.LINES}, {oracle.VALID}
 select f[1] as record_id, strftime(strptime(f[2], '%Y%m%d%H%M%S'), '%Y-%m-%d') as publish_date,
   coalesce(cast(nullif(f[3], '') as bigint), -1) as source_collection, length(nullif(f[24], '')) as names_length
-from valid""")
+from valid"""
+
+
+@query(ARTICLE_TABLE)
 def article_table(spark, d):
-    return articles.article_table(tables.article_lines(spark, d)).select(
+    return _typed(articles.article_table(tables.article_lines(spark, d)))
+
+
+def _typed(table: DataFrame) -> DataFrame:
+    return table.select(
         "record_id", F.date_format("publish_date", "yyyy-MM-dd").alias("publish_date"),
         F.coalesce(F.col("source_collection").cast("bigint"), F.lit(-1).cast("bigint")).alias("source_collection"),
         F.length("all_names").cast("bigint").alias("names_length"),
     )
 
 
+@query(ARTICLE_TABLE)
+def described_table(spark, d):
+    """The table's schema is read from a descriptor: name, type and mode of each field, a line each."""
+    path = scratch_path(spark, "descriptor")
+    kinds = {"int": "INTEGER"}
+    described = [(f"{f.name}\t{kinds.get(f.dataType.simpleString(), f.dataType.simpleString().upper())}\tNULLABLE",) for f in article_schema()]
+    spark.createDataFrame(described, "value string").coalesce(1).write.text(path)
+    schema = articles.schema_from_descriptor(spark, path)
+    return _typed(articles.article_table(tables.article_lines(spark, d), schema=schema))
+
+
 @query(f"""with {oracle.LINES}, {oracle.VALID}
 select strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M:%S') as publish_minute, count(*) as articles
 from valid group by all""")
@@ -454,6 +495,17 @@ def manifest_entries(spark, d):
     return segments.manifest_entries(lines).select("path", "file_name")
 
 
+@query(f"""with {ARRIVED}
+select '/v2/gkg/' || file_name as path, file_name, '/data/' || file_name as local_path
+from (select file_name from arrived order by file_name limit 100)""")
+def first_manifest_files(spark, d):
+    """The first hundred lines of a manifest of all files, in the manifest's order."""
+    path = scratch_path(spark, "manifest")
+    line = F.concat(F.length("file_name"), F.lit(" http://example.org/v2/gkg/"), "file_name")
+    tables.arrived_segments(spark, d).orderBy("file_name").select(line.alias("value")).write.text(path)
+    return segments.manifest_files(spark, path, 100, "/data")
+
+
 @query("""select event_id,
   strftime(time_bucket(interval 15 minute, ts) + interval 15 minute, '%Y-%m-%d %H:%M:%S') as boundary from events""")
 def next_boundary(spark, d):

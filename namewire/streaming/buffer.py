@@ -83,9 +83,9 @@ def live_top_of_hour(
 ) -> DataFrame:
     """Changelog of the buffer of names by their mentions in the last hour, straight from mentions (ts, name), in one query.
 
-    ``seq`` is the tick in epoch seconds. The counts' state comes first, the buffers' second; both live in
-    one checkpoint. Run it in append mode.
+    ``seq`` is the tick in epoch seconds. The state of the counts and that of the buffers live in one
+    checkpoint. Run it in append mode.
     """
-    counts = live_trailing_counts(mentions, late=late, output_mode="append")
+    counts = live_trailing_counts(mentions, late=late)
     updates = counts.select(F.unix_seconds("tick").alias("seq"), "name", "cnt")
     return live_bounded_topk(updates, capacity, buckets, output_mode="append")

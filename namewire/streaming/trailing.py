@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from namewire.functions.times import epoch_floor
 from namewire.operators.windows import HOUR, MINUTE
 
 _MS = 1000
@@ -89,20 +88,23 @@ class TrailingCounter(StatefulProcessor):
         pass
 
 
-def live_trailing_counts(
-    mentions: DataFrame, size: int = HOUR, slide: int = MINUTE, late: str = "10 minutes", output_mode: str = "update",
-) -> DataFrame:
+def live_trailing_counts(mentions: DataFrame, size: int = HOUR, slide: int = MINUTE, late: str = "10 minutes") -> DataFrame:
     """Changelog (name, tick, cnt): mentions of a name in ``[tick - size, tick)``, wherever that changes.
 
     Ticks are multiples of ``slide``; one is told once the watermark, ``late`` behind the newest mention,
     has passed it. A name that nobody mentions falls, and is told as 0 once its last mention is
-    ``size`` old. The state of a name is bounded by the slots of ``size`` and ``late``. Later mentions, and rows
-    without a name or time, drop out.
+    ``size`` old. Mentions (ts, name) are counted by slot first, partly in the map tasks, and a slot is handed
+    on when the watermark has passed it, which is when its tick is due: a hot name is one row a slot for the
+    processor, whose state is bounded by the slots of ``size``. Later mentions, and rows without a name or
+    time, drop out. Two stateful operators: run it in append mode.
     """
     if size % slide:
         raise ValueError("the window size must be a multiple of the slide")
-    slots = mentions.where("ts is not null and name is not null").withWatermark("ts", late).select(
-        "name", "ts", epoch_floor("ts", slide).alias("slot"), F.lit(1).cast("bigint").alias("cnt"))
+    counts = (
+        mentions.where("ts is not null and name is not null").withWatermark("ts", late)
+        .groupBy(F.window("ts", f"{slide} seconds").alias("_slot"), "name").agg(F.count("*").alias("cnt"))
+    )
+    slots = counts.select("name", F.window_time("_slot").alias("ts"), F.unix_seconds("_slot.start").alias("slot"), "cnt")
     return slots.groupBy("name").transformWithState(
-        TrailingCounter(size, slide), "name string, tick bigint, cnt bigint", output_mode, "EventTime",
+        TrailingCounter(size, slide), "name string, tick bigint, cnt bigint", "append", "EventTime",
     ).withColumn("tick", F.timestamp_seconds("tick"))

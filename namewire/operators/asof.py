@@ -91,16 +91,17 @@ def integrate_over(
     """
     size = width * _MICRO
     points = _points(series, by, ts, value, tie, width)
-    row = F.struct(*intervals.columns)
-    spans = intervals.where(_known(by)).select(
-        *by, row.alias("_row"), _micros(start).alias("_low"), _micros(end).alias("_high")).where("_low < _high").distinct()
-    first, last = _block(F.col("_low"), width), _block(F.col("_high") - 1, width)
+    # equal spans of a key have one integral
+    span = [*by, "_start", "_end"]
+    rows = intervals.withColumn("_start", _micros(start)).withColumn("_end", _micros(end))
+    spans = rows.where(_known(by)).where("_start < _end").select(*span).distinct()
+    first, last = _block(F.col("_start"), width), _block(F.col("_end") - 1, width)
     cut = spans.withColumn("_block", F.explode(F.sequence(first, last))).select(
-        *by, "_row", "_block", F.greatest("_low", F.col("_block") * size).alias("_low"),
-        F.least("_high", (F.col("_block") + 1) * size).alias("_high"))
+        *span, "_block", F.greatest("_start", F.col("_block") * size).alias("_low"),
+        F.least("_end", (F.col("_block") + 1) * size).alias("_high"))
     heads = carried_heads(points, cut, by)
-    begins = heads.where("_head is not null").select(*by, "_block", (F.col("_block") * size).alias("_at"), F.col("_head").alias("_value"),
-                                                     F.lit(0).alias("_order"))
+    begins = heads.where("_head is not null").select(
+        *by, "_block", (F.col("_block") * size).alias("_at"), F.col("_head").alias("_value"), F.lit(0).alias("_order"))
     steps = begins.unionByName(points.select(*by, "_block", "_at", "_value", F.lit(1).alias("_order")))
     after = Window.partitionBy(*by, "_block").orderBy("_at", "_order")
     pieces = steps.select(*by, "_block", "_value", F.col("_at").alias("_from"),
@@ -109,13 +110,11 @@ def integrate_over(
     length = F.sum(F.col("_to") - F.col("_from")) / (HOUR * _MICRO)
     totals = pieces.groupBy(*by, "_block").agg(area.alias("_area"), length.alias("_length"))
     whole = (F.col("_high") - F.col("_low")) == size
-    full = lookup_join(cut.where(whole), totals, [*by, "_block"]).select("_row", "_area", "_length")
+    full = lookup_join(cut.where(whole), totals, [*by, "_block"]).select(*span, "_area", "_length")
     meet = cut.where(~whole).join(pieces, [*by, "_block"]).where("_from < _high and _to > _low")
-    meet = meet.withColumn("_from", F.greatest("_from", "_low")).withColumn("_to", F.least("_to", "_high"))
-    width_hours = (F.col("_to") - F.col("_from")) / (HOUR * _MICRO)
-    edges = meet.select("_row", (width_hours * F.col("_value")).alias("_area"), width_hours.alias("_length"))
-    sums = full.unionByName(edges).groupBy("_row").agg(F.sum("_area").alias("_area"), F.sum("_length").alias("_length"))
-    sums = sums.withColumn("_of", F.xxhash64("_row"))
-    out = intervals.withColumn("_id", F.xxhash64(row)).join(sums, (F.col("_id") == F.col("_of")) & row.eqNullSafe(F.col("_row")), "left")
+    hours = (F.least("_to", "_high") - F.greatest("_from", "_low")) / (HOUR * _MICRO)
+    edges = meet.select(*span, (hours * F.col("_value")).alias("_area"), hours.alias("_length"))
+    sums = full.unionByName(edges).groupBy(*span).agg(F.sum("_area").alias("_area"), F.sum("_length").alias("_length"))
+    out = rows.join(sums, span, "left")
     return out.select(*intervals.columns, F.coalesce("_area", F.lit(0.0)).alias(integral),
                       F.coalesce("_length", F.lit(0.0)).alias(covered))

@@ -14,6 +14,7 @@ from namewire.sinks.topics import sink_changelog
 from namewire.streaming.buffer import live_bounded_topk, live_top_of_hour
 from namewire.streaming.feeding import feed, feed_and_read, read_epochs
 from namewire.streaming.late import mark_late, split_late
+from namewire.streaming.live import BoundedTopK
 from namewire.streaming.mentions import distinct_lines, live_hopping_counts, live_window_of_windows
 from namewire.streaming.trailing import live_trailing_counts
 
@@ -107,6 +108,22 @@ def test_top_of_hour_in_one_query(spark, tmp_path):
     assert got == rows(bounded_topk(updates, capacity=2, buckets=2).select("bucket", "seq", "step", "name", "cnt", "evicted"))
 
 
+def test_old_folders_go(spark, tmp_path):
+    frame = spark.createDataFrame(changelog(3, 50, 9), "seq bigint, name string, cnt bigint")
+    parts = [frame.where(F.floor(F.col("seq") / 10) == k) for k in range(5)]
+    feed(parts, f"{tmp_path}/in", lambda u: sink_changelog(u, f"{tmp_path}/c", f"{tmp_path}/out", trigger={"availableNow": True},
+                                                          output_mode="append", keep=2))
+    assert rows(read_epochs(spark, f"{tmp_path}/out").select("epoch").distinct()) == [(3,), (4,)]
+    buffer = BoundedTopK(f"{tmp_path}/buffer", capacity=2, buckets=2, keep=3)
+    for epoch, part in enumerate(parts):
+        buffer.apply(part, epoch)
+    for kind in ("changes", "state", "messages"):
+        assert {p.name for p in (tmp_path / "buffer" / kind).iterdir()} == {"epoch=2", "epoch=3", "epoch=4"}
+    assert buffer.newest(spark) == 4
+    held, since = buffer.snapshot_and_delta(spark, 2)
+    assert {r.epoch for r in since.collect()} <= {3, 4} and held.count() > 0
+
+
 def test_windows_of_minutes(spark, tmp_path):
     draw = random.Random(2)
     some = [(minute(draw.randrange(180), draw.randrange(60)), draw.choice("ab")) for _ in range(300)]

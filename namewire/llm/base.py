@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from namewire.session import scratch_path
@@ -21,6 +27,23 @@ def stored(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The same function for a task's batches, which hands freed memory back to the machine at its end.
+
+    A Python worker goes on to other stages; what the allocators keep would add up over them.
+    """
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # only the GNU library has it
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
+
+
 def semi_join(facts: DataFrame, keys: DataFrame, on: str, max_rows: int = 2_000_000, how: str = "left_semi") -> DataFrame:
     """Rows whose key is among the stored ``keys``, or with ``left_anti`` is not.
 

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from namewire.llm.base import stored, table
+from namewire.llm.base import released, stored, table
 from namewire.llm.words import Hasher, mix, shingles, texts
 
 WINDOW, LEAST = 12, 6  # template words of a window; of the shortest item that is looked for
@@ -156,7 +156,7 @@ def contaminated(
     np.bitwise_or.at(wanted, bits >> 3, (1 << (bits & 7)).astype(np.uint8))
 
     plain = documents.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text")).where("id is not null")
-    found = plain.mapInArrow(_windows([n for n in sizes if n > 0], [-n for n in sizes if n < 0], wanted), WINDOWS)
+    found = plain.mapInArrow(released(_windows([n for n in sizes if n > 0], [-n for n in sizes if n < 0], wanted)), WINDOWS)
     items = known.select("window", "size", F.col("id").alias("item_id"), F.col("slots").alias("item_slots"), F.col("inner").alias("item_inner"))
     few = known.count() <= BROADCAST_WINDOWS
     pairs = F.array_distinct(F.arrays_zip("item_inner", "inner"))

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from namewire.llm.base import components, semi_join, stored, table
+from namewire.llm.base import components, released, semi_join, stored, table
 from namewire.llm.words import Hasher, mix, shingles, texts
 
 BANDS, ROWS = 40, 6  # a pair at 0.8 shares a bucket with probability 1 - 5e-6
@@ -131,7 +131,7 @@ def near_duplicates(
     texts they are in one component. An empty table gives an empty result.
     """
     plain = documents.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    sketches = stored(plain.mapInArrow(_sketches(shingle_size, bands, rows), SKETCH), "sketches")
+    sketches = stored(plain.mapInArrow(released(_sketches(shingle_size, bands, rows)), SKETCH), "sketches")
     usable = sketches.where("id is not null and n > 0")
 
     # a class is a distinct shingle set; the row with its smallest id sends its sketch on
@@ -143,13 +143,13 @@ def near_duplicates(
 
     needed = stored(members.select("node").distinct().join(classes, "node").select("id").distinct(), "needed")
     sets = stored(semi_join(plain, needed, "id").mapInArrow(
-        _full_sets(shingle_size), "node long, items binary").dropDuplicates(["node"]), "sets")
+        released(_full_sets(shingle_size)), "node long, items binary").dropDuplicates(["node"]), "sets")
 
     def compared(pairs: DataFrame) -> DataFrame:
         with_sets = (pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("items_a")), "a")
                      .join(sets.select(F.col("node").alias("b"), F.col("items").alias("items_b")), "b"))
         return stored(with_sets.mapInArrow(
-            _compared(), "a long, b long, na long, nb long, common long, extra array<long>"), "compared")
+            released(_compared()), "a long, b long, na long, nb long, common long, extra array<long>"), "compared")
 
     def links(pairs: DataFrame) -> DataFrame:
         return pairs.where(f"100 * common >= {percent} * (na + nb - common)").select("a", "b")

@@ -13,8 +13,6 @@ from __future__ import annotations
 import os
 import re
 import struct
-import sys
-import types
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -26,7 +24,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from namewire.llm.base import stored, table
+from namewire.llm.base import released, stored, table
 from namewire.session import scratch_path
 
 SEEK_MAGIC, TABLE_FRAME, IDS_FRAME = 0x8F92EAB1, 0x184D2A5E, 0x184D2A50
@@ -66,9 +64,7 @@ def word_encoder(path: str, width: int = 2) -> Callable[[list[bytes]], list[byte
         raise ValueError(f"ids of {path} need more than {width} bytes")
     kind = f"<u{width}"
     closing = np.array([(tokenizer.id_to_token(k) or "").endswith("</w>") for k in range(size)])
-    # kept by the Python worker for its next tasks; this module itself travels by value
-    kept_by_worker = sys.modules.setdefault("namewire_word_ids", types.ModuleType("namewire_word_ids"))
-    cache: dict[bytes, bytes] = vars(kept_by_worker).setdefault(f"{path}:{width}", {})
+    cache: dict[bytes, bytes] = {}  # of one task: over tasks it saves nothing, as most words that are looked up are common
 
     def ids_of(pieces: list[str]) -> list[bytes]:
         return [np.array(e.ids, kind).tobytes() for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
@@ -249,24 +245,32 @@ def pack_tokens(
     system, root = open_folder(folder)
     system.create_dir(root, recursive=True)
     encoded = plain.mapInArrow(
-        _encode(tokenizer_path, end_id, width, cuts), "doc_id long, shard int, ids binary")
-    ordered = encoded.repartition(files, "shard").sortWithinPartitions("shard", F.asc_nulls_first("doc_id"), "ids")
+        released(_encode(tokenizer_path, end_id, width, cuts)), "doc_id long, shard int, ids binary")
+    # the shard's number is the partition's: a task has one file
+    ordered = encoded.repartitionById(len(cuts) + 1, "shard").sortWithinPartitions("shard", F.asc_nulls_first("doc_id"), "ids")
     manifest = stored(ordered.mapInArrow(
-        _write(folder, width), "shard int, file string, documents long, tokens long"), "manifest")
+        released(_write(folder, width)), "shard int, file string, documents long, tokens long"), "manifest")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return manifest.withColumn("first", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
 
 
 def read_back(manifest: DataFrame, folder: str, width: int = 2) -> DataFrame:
     """``doc_id``, ``start``, ``n_tokens``, ``ids_crc32`` of every document, read from the files."""
-    files = manifest.select("file", "first").repartition(max(1, manifest.count()), "file")
-    return files.mapInArrow(_read(folder, width), "doc_id long, start long, n_tokens long, ids_crc32 long")
+    count = max(1, manifest.count())
+    files = manifest.repartitionById(count, (F.col("shard") % count).cast("int")).select("file", "first")
+    return files.mapInArrow(released(_read(folder, width)), "doc_id long, start long, n_tokens long, ids_crc32 long")
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the file system that Spark takes it to be in."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
 
 
 def pack_and_read(documents: DataFrame) -> DataFrame:
     import public_tokenizers
 
-    folder = scratch_path(documents.sparkSession, "tokens")
+    folder = qualified(documents.sparkSession, scratch_path(documents.sparkSession, "tokens"))
     manifest = stored(pack_tokens(documents, public_tokenizers.path("word_bpe_49k.json"), folder), "shards")
     return read_back(manifest, folder)
 

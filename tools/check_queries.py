@@ -14,18 +14,24 @@ import namewire.plans.live_queries  # noqa: E402, F401
 from namewire.plans.registry import ORACLE, QUERIES  # noqa: E402
 from namewire.session import build_session  # noqa: E402
 
-TABLES = ["events", "documents", "part", "orders", "lineitem"]
+TABLES = ["events", "documents", "part", "orders", "lineitem", "conversations"]
+
+
+def printed(value) -> str:
+    if value is None or value != value:
+        return "null"
+    return f"{value:.6f}" if isinstance(value, float) else str(value)
 
 
 def normal(frame):
-    """Rows in an order-free form; numbers print the same in both engines."""
+    """Rows in an order-free form; numbers print the same in both engines, whole ones with nulls as floats."""
     frame = frame[sorted(frame.columns)]
     kinds = frame.dtypes
     for c in frame.columns:
         if kinds[c].kind == "f":
             frame[c] = frame[c].map(lambda v: "null" if v != v else f"{v:.6f}")
         else:
-            frame[c] = frame[c].map(lambda v: "null" if v is None else str(v))
+            frame[c] = frame[c].map(printed)
     return frame.sort_values(list(frame.columns)).reset_index(drop=True)
 
 

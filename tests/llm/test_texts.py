@@ -76,6 +76,49 @@ def test_network_learns_keys():
     assert (p[:300] >= net.threshold).mean() >= 0.97 and (p[300:] >= net.threshold).mean() <= 0.02
 
 
+def test_candidates_are_linear_and_whole():
+    import time
+
+    started = time.time()
+    assert [c[1:3] for c in secrets.candidates("x" * 1_000_000, [])][-1] == (0, 1_000_000)
+    assert time.time() - started < 1
+    # a key in the middle of a long run is in some window, whole if it is as long as a step
+    text = "y" * 300 + "Kq7ZpW3vXn8RtB5mLs2H" + "y" * 300
+    assert any("Kq7ZpW3vXn8RtB5mLs2H" in c[3] for c in secrets.candidates(text, []))
+    # what a rule leaves of a run, at both its ends; the words of the rule are not in the view
+    text = "z" * 20 + "/token=" + "9" * 20 + ".+" + "q" * 20
+    found = list(secrets.candidates(text, secrets.base_findings(text)))
+    assert [c[:3] for c in found] == [(1, 27, 69), (1, 27, 69), (0, 0, 21)]
+    assert "token" not in found[0][3]
+
+
+def test_secrets_without_keyword(spark):
+    draw = np.random.Generator(np.random.PCG64(9))
+
+    def key(alphabet, n):
+        return "".join(draw.choice(list(alphabet), n))
+
+    base62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    rows, planted, plain = [], {}, set()
+    for k in range(600):
+        words = prose(7000 + k, 30, 400).split()
+        if k % 3 == 0:
+            words[9] = f'token = "{key("0123456789abcdef", 40)}"'
+        elif k % 3 == 1:
+            words[9] = key("0123456789", 16) if k % 2 else "internationalization" + key("aeioustnr", 6)
+            plain.add(k)
+        elif k % 9 == 2:
+            words[9] = key(base62, 32)
+            planted[k] = words[9]
+        rows.append((k, " ".join(words)))
+    got = {r.doc_id: r for r in secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    caught = [k for k, value in planted.items()
+              if f"model:{rows[k][1].index(value)}:{rows[k][1].index(value) + 32}" in got[k].spans.split(",")]
+    assert len(caught) >= 0.9 * len(planted)
+    assert sum(got[k].n_model > 0 for k in plain) <= 0.05 * len(plain)
+    assert got[0].net_recall >= 0.95 and 0 < got[0].net_precision <= 1
+
+
 def test_packed_file_round_trip():
     sink = pa.BufferOutputStream()
     rows = [(7, b"\x01\x00\x02\x00"), (None, b"\x05\x00"), (9, b"\x09\x00" * 5000)]

@@ -188,3 +188,25 @@ def test_neighbours_awkward(spark):
     got = sorted((r.vec_id or 0, r.n_links, r.component_id or 0, r.kept) for r in neighbours.near_duplicates(vectors_of(spark, rows)).collect())
     assert got == [(0, 0, 0, True), (1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 0, 3, True)]
     assert neighbours.near_duplicates(vectors_of(spark, rows).limit(0)).count() == 0
+
+
+def test_neighbours_raise_on_low_recall(spark, monkeypatch):
+    import pandas as pd
+
+    def blind(cosine):
+        return lambda key, rows: pd.DataFrame({"node": rows["node"], "found": 0, "root": rows["node"]})
+
+    rows = [(k, [1.0, k / 1000], 1) for k in range(40)]
+    monkeypatch.setattr(neighbours, "_search", blind)
+    with pytest.raises(RuntimeError, match="recall 0.000"):
+        neighbours.near_duplicates(vectors_of(spark, rows), attempts=2)
+
+
+def test_neighbours_of_doubles(spark):
+    # apart by less than a float can tell, on both sides of the limit
+    x = 0.98
+    y = (1 - x * x) ** 0.5
+    rows = [(1, [1.0, 0.0], 1, "a"), (2, [x + 1e-9, y], 1, "b"), (3, [x - 1e-9, -y], 1, "c")]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, node string")
+    got = {r.vec_id: r.component_id for r in neighbours.near_duplicates(table).collect()}
+    assert got == {1: 1, 2: 1, 3: 3}

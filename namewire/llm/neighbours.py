@@ -68,7 +68,7 @@ def shards(vectors: DataFrame, cell: int = CELL, overlap: int = 2, levels: int =
     What stays too large, a clump of vectors all alike, is cut into blocks, with one shard
     for every two blocks.
     """
-    schema = f"node long, vector {nodes.schema["vector"].dataType.simpleString()}, cell long, fixed boolean"
+    schema = f"node long, vector {vectors.schema['vector'].dataType.simpleString()}, cell long, fixed boolean"
     todo, done = stored(vectors.select("node", "vector", "cell", F.lit(False).alias("fixed")), "cells"), None
     for level in range(levels):
         sizes = stored(todo.groupBy("cell").agg(F.count("*").alias("size"), F.bool_or("fixed").alias("stuck")), "sizes")

@@ -3,9 +3,15 @@
 The pages of a host are merged into one tree of element paths. A path is important if
 pages present it in different ways (entropy of the tags below it) and fill it with
 different content (entropy of its texts over the pages); a branch that looks and
-reads the same on page after page is not. Branches of low importance are removed from each
-page. Where markup states what a branch is (navigation, advert, form; article, main),
-that sets its importance beforehand, as a menu or an advert may well differ on every page.
+reads the same on page after page is not, nor is one that is all links where markup
+says nothing about it. Importance decides about every block: branches of low importance
+are removed from each page.
+
+Markup that says what a branch is (navigation, advert, form; article, main) is a prior: it sets the
+importance that the entropies start from and the one a branch must fall below. A branch
+called main goes if it reads the same on page after page. A branch called noise comes back, but for
+what is called noise inside it, if nearly all that differs from page to page of a
+host is in it: it is then a frame around the page. The fewer pages a host has, the more the prior counts.
 
 The tree is only ever a table of (host, path): a host with any number of pages is summed
 up by partial aggregation.
@@ -17,6 +23,7 @@ import hashlib
 import html as entities
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 from urllib.parse import urlsplit
 
 import pyarrow as pa
@@ -24,9 +31,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from namewire.llm.base import stored, table
 
-MIN_PAGES = 4  # below so many different pages a host says nothing about what repeats
-THRESHOLD = 0.4
 STYLE_SHARE = 0.1  # of presentation in an importance; the rest is content
+PRIOR_PAGES = 3  # pages that a prior counts as
+FRAME_PRIOR, FRAME = 0.1, 0.8  # a branch called noise is a frame from this share on
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes".split())
@@ -55,39 +62,63 @@ LOOSE_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>]*)>?")
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 SPLIT = re.compile(r"[^a-z0-9]+")
 NOISE, OPEN, MAIN = -1, 0, 1
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
+# importance before any page is seen, and below which a path is removed
+PRIOR = {OPEN: (0.6, 0.4), MAIN: (0.9, 0.1)}
 
 
 def _long(*parts: object) -> int:
     return int.from_bytes(hashlib.blake2b("\x1f".join(map(str, parts)).encode(), digest_size=8).digest(), "big", signed=True)
 
 
-def _standing(tag: str, attributes: str, above: int) -> tuple[int, str]:
-    """What markup says about an element, and its class for the path; noise is inherited."""
+def _called(tag: str, attributes: str, above: int) -> tuple[int | None, str]:
+    """What markup calls an element itself, if anything, and its class for the path."""
     found = {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in ATTRIBUTE.finditer(attributes)} if attributes else {}
     style = found.get("class", "")
-    if above == NOISE or tag in NOISE_TAGS or found.get("role") in NOISE_ROLES:
+    if tag in NOISE_TAGS or found.get("role") in NOISE_ROLES:
         return NOISE, style
     if tag in ("article", "main") or found.get("role") in ("main", "article"):
         return MAIN, style
     if tag == "header" and above != MAIN:
         return NOISE, style
     if tag in ("html", "body"):
-        return above, style
+        return None, style
     words = set(SPLIT.split(found.get("class", "") + " " + found.get("id", "")))
     noise, main = bool(words & NOISE_WORDS), bool(words & MAIN_WORDS)
-    if noise != main:
-        return (NOISE if noise else MAIN), style
-    return above, style
+    return (NOISE if noise else MAIN) if noise != main else None, style
+
+
+class Element(NamedTuple):
+    """An open element: its path, what markup makes of it, and where the nearest block around it is."""
+    tag: str
+    path: int
+    standing: int
+    branch: int | None  # the outermost branch called noise around it
+    inner: int  # its standing if that branch were none
+    block: int
+    linked: bool
+
+
+class Block(NamedTuple):
+    path: int
+    standing: int
+    text: str
+    branch: int | None
+    inner: int
+    linked: int  # letters inside links
 
 
 class Page:
-    """Blocks of text of a page in order: (path, standing, text); and the tags below each path."""
+    """Blocks of text of a page in order, and the tags below each path; time and memory are linear in the page."""
 
     def __init__(self, source: str):
-        self.blocks: list[tuple[str, int, str]] = []
-        self.below: dict[str, list[str]] = {}
-        self.stack: list[tuple[str, str, int]] = [("", "", OPEN)]  # tag, path, standing
+        self.blocks: list[Block] = []
+        self.below: dict[int, list[str]] = {}
+        self.stack = [Element("", 0, OPEN, None, OPEN, 0, False)]
+        self.depths: dict[str, list[int]] = {}  # of the open elements of each tag
+        self.names: dict[tuple[int, str, str], int] = {}
         self.parts: list[str] = []
+        self.linked = 0
         self.owner = self.stack[0]
         self._parse(source)
 
@@ -95,55 +126,72 @@ class Page:
         if self.parts:
             text = " ".join(entities.unescape("".join(self.parts)).split())
             if text:
-                self.blocks.append((self.owner[1], self.owner[2], text))
-            self.parts = []
+                owner = self.owner
+                self.blocks.append(Block(owner.path, owner.standing, text, owner.branch, owner.inner, min(self.linked, len(text))))
+            self.parts, self.linked = [], 0
 
     def _text(self, piece: str) -> None:
         if piece:
+            top = self.stack[-1]
             if not self.parts:
-                self.owner = self.stack[-1]
-            elif self.stack[-1][2] != self.owner[2]:  # an inline element of another standing, such as a label
-                self._flush()
-                self.owner = self.stack[-1]
+                self.owner = top
+            elif (top.standing, top.branch, top.inner) != (self.owner.standing, self.owner.branch, self.owner.inner):
+                self._flush()  # an inline element of another standing, such as a label
+                self.owner = top
             self.parts.append(piece)
+            if top.linked:
+                self.linked += len(piece)
 
     def _close_to(self, depth: int) -> None:
-        del self.stack[depth:]
+        while len(self.stack) > depth:
+            self.depths[self.stack.pop().tag].pop()
+
+    def _depth(self, tags: tuple[str, ...]) -> int:
+        return max((self.depths[t][-1] for t in tags if self.depths.get(t)), default=0)
+
+    def _name(self, path: int, tag: str, style: str) -> int:
+        key = path, tag, style
+        if key not in self.names:
+            self.names[key] = _long(*key)
+        return self.names[key]
 
     def _open(self, tag: str, attributes: str) -> None:
         if tag in BLOCKS:
             self._flush()
-            if any(e[0] == "p" for e in self.stack[-8:]):  # a block ends an open paragraph
-                for depth in range(len(self.stack) - 1, 0, -1):
-                    if self.stack[depth][0] == "p":
-                        self._close_to(depth)
-                        break
-                    if self.stack[depth][0] in BLOCKS:
-                        break
-        for depth in range(len(self.stack) - 1, 0, -1) if tag in CLOSES else ():
-            if self.stack[depth][0] in BOUNDS[tag]:
-                break
-            if self.stack[depth][0] in CLOSES[tag]:
+            if self.stack[self.stack[-1].block].tag == "p":  # a block ends an open paragraph
+                self._close_to(self.stack[-1].block)
+        if tag in CLOSES:
+            depth = self._depth(CLOSES[tag])
+            if depth > self._depth(BOUNDS[tag]):
                 self._close_to(depth)
-                break
-        _, path, above = self.stack[-1]
-        standing, style = _standing(tag, attributes, above)
-        self.below.setdefault(path, []).append(tag)
+        top = self.stack[-1]
+        called, style = _called(tag, attributes, top.inner if top.standing == NOISE else top.standing)
+        self.below.setdefault(top.path, []).append(tag)
         if tag == "br" or tag == "hr":
             self._text(" ")
-        if tag not in VOID and not attributes.endswith("/"):
-            deeper = path if tag not in BLOCKS else f"{path}/{tag}.{style}" if style else f"{path}/{tag}"
-            self.stack.append((tag, deeper, standing))
+        if tag in VOID or attributes.endswith("/"):
+            return
+        name = self._name(top.path, tag, style)
+        if top.standing == NOISE:
+            standing, branch = NOISE, top.branch
+            inner = NOISE if top.inner == NOISE else top.inner if called is None else called
+        elif called == NOISE:
+            standing, branch, inner = NOISE, name, OPEN
+        else:
+            standing, branch = (top.standing if called is None else called), None
+            inner = standing
+        depth, block = len(self.stack), tag in BLOCKS
+        link = tag == "a" and self.stack[top.block].tag not in HEADINGS  # a title may be a link
+        self.stack.append(Element(tag, name if block else top.path, standing, branch, inner,
+                                  depth if block else top.block, top.linked or link))
+        self.depths.setdefault(tag, []).append(depth)
 
     def _close(self, tag: str) -> None:
         if tag in BLOCKS:
             self._flush()
-        for depth in range(len(self.stack) - 1, 0, -1):
-            if self.stack[depth][0] == tag:
-                self._close_to(depth)
-                return
-            if tag not in BLOCKS and self.stack[depth][0] in BLOCKS:
-                return  # a stray end of an inline element
+        depth = self._depth((tag,))
+        if depth > (0 if tag in BLOCKS else self.stack[-1].block):  # else a stray end
+            self._close_to(depth)
 
     def _parse(self, source: str) -> None:
         at, end = 0, len(source)
@@ -181,10 +229,10 @@ class Page:
                 self._open(tag, m[3])
         self._flush()
 
-    def kept(self) -> list[tuple[str, int, str]]:
-        """Blocks that markup does not call noise; beside a stated main part, only that part."""
-        blocks = [b for b in self.blocks if b[1] != NOISE]
-        main = [b for b in blocks if b[1] == MAIN]
+    def kept(self) -> list[Block]:
+        """What markup alone would keep: blocks not called noise; beside a main part, only that part."""
+        blocks = [b for b in self.blocks if b.standing != NOISE]
+        main = [b for b in blocks if b.standing == MAIN]
         return main or blocks
 
 
@@ -195,84 +243,129 @@ def host_of(url: str | None) -> str:
         return ""
 
 
-BLOCK = pa.struct([("path", pa.int64()), ("open", pa.bool_()), ("text", pa.string())])
+BLOCK = pa.struct([("path", pa.int64()), ("standing", pa.int8()), ("text", pa.string()), ("branch", pa.int64()), ("inner", pa.int8())])
 NODE = pa.struct([("path", pa.int64()), ("style", pa.int64())])
-CONTENT = pa.struct([("path", pa.int64()), ("item", pa.int64())])
-SCHEMA = ("page_id long, url string, host string, page long, blocks array<struct<path:long,open:boolean,text:string>>,"
-          " nodes array<struct<path:long,style:long>>, contents array<struct<path:long,item:long>>")
+CONTENT = pa.struct([("path", pa.int64()), ("branch", pa.int64()), ("item", pa.int64()), ("size", pa.int64()), ("linked", pa.int64())])
+SCHEMA = ("page_id long, url string, host string, page long, source long,"
+          " blocks array<struct<path:long,standing:tinyint,text:string,branch:long,inner:tinyint>>,"
+          " nodes array<struct<path:long,style:long>>,"
+          " contents array<struct<path:long,branch:long,item:long,size:long,linked:long>>")
+
+
+def _contents(page: Page) -> list[dict]:
+    """Different texts of each path of a page, with their letters and those of them in links."""
+    sums: dict[tuple, list[int]] = {}
+    for b in page.blocks:
+        found = sums.setdefault((b.path, b.branch, _long(b.text)), [0, 0])
+        found[0] += len(b.text)
+        found[1] += b.linked
+    return [{"path": p, "branch": r, "item": i, "size": n, "linked": k} for (p, r, i), (n, k) in sums.items()]
 
 
 def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for low in range(0, len(batch), 128):
             part = batch.slice(low, 128)
-            out = {name: [] for name in ("host", "page", "blocks", "nodes", "contents")}
+            out = {name: [] for name in ("host", "page", "source", "blocks", "nodes", "contents")}
             for url, source in zip(part.column("url").to_pylist(), part.column("html").to_pylist()):
                 page = Page(source or "")
-                names = {p: _long(p) for p in {*page.below, *(b[0] for b in page.blocks)}}
                 out["host"].append(host_of(url))
-                out["page"].append(_long(source or ""))
-                out["blocks"].append([{"path": names[p], "open": s == OPEN, "text": t} for p, s, t in page.kept()])
-                out["nodes"].append([{"path": names[p], "style": _long(*tags)} for p, tags in page.below.items()])
-                out["contents"].append([{"path": names[p], "item": i} for p, i in {(p, _long(t)) for p, _, t in page.blocks}])
+                # pages that differ in noise only are one
+                out["page"].append(_long(*([b.text for b in page.blocks if b.standing != NOISE] or [source or ""])))
+                out["source"].append(_long(source or ""))
+                out["blocks"].append([{"path": b.path, "standing": b.standing, "text": b.text, "branch": b.branch, "inner": b.inner}
+                                      for b in page.blocks if b.inner != NOISE])
+                out["nodes"].append([{"path": p, "style": _long(*tags)} for p, tags in page.below.items()])
+                out["contents"].append(_contents(page))
             yield pa.RecordBatch.from_arrays([
                 part.column("page_id"), part.column("url"), pa.array(out["host"], pa.string()), pa.array(out["page"], pa.int64()),
-                pa.array(out["blocks"], pa.list_(BLOCK)), pa.array(out["nodes"], pa.list_(NODE)),
+                pa.array(out["source"], pa.int64()), pa.array(out["blocks"], pa.list_(BLOCK)), pa.array(out["nodes"], pa.list_(NODE)),
                 pa.array(out["contents"], pa.list_(CONTENT))],
-                names=["page_id", "url", "host", "page", "blocks", "nodes", "contents"])
+                names=["page_id", "url", "host", "page", "source", "blocks", "nodes", "contents"])
+
+
+def _with_prior(prior: float, seen: str, pages: str = "m"):
+    """An estimate from ``pages`` pages, drawn towards what was held before any was seen."""
+    return (F.lit(prior * PRIOR_PAGES) + (F.col(pages) - 1) * F.col(seen)) / (PRIOR_PAGES + F.col(pages) - 1)
 
 
-def style_tree(parsed: DataFrame) -> DataFrame:
-    """``importance`` of every (host, path), from the different pages of each host.
+def style_tree(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``importance`` of every (host, path) and ``frame`` of every (host, branch) called noise, with ``m`` pages.
 
     Presentation: entropy of the styles of a path over its pages, in units of the largest
-    possible. Content: one less the mean entropy of its texts, where a text on k of m
-    pages has entropy log k / log m. A path on fewer than ``MIN_PAGES`` pages is important.
+    possible; none if there is nothing below it. Content: one less the mean entropy of its texts, where a text on k of m
+    pages has entropy log k / log m. ``linked`` is the share of its letters in links. ``frame`` nears one as the
+    text that differs from page to page and stands outside the branch nears none of the host's.
     """
     # a copy of a page counts once
-    pages = parsed.groupBy("host", "page").agg(F.first("nodes").alias("nodes"), F.first("contents").alias("contents"))
+    pages = stored(parsed.groupBy("host", "page").agg(
+        F.min_by("nodes", "source").alias("nodes"), F.min_by("contents", "source").alias("contents")), "pages")
     styles = (pages.select("host", F.explode("nodes").alias("n")).select("host", "n.*")
               .groupBy("host", "path", "style").agg(F.count("*").alias("k")))
     shown = styles.groupBy("host", "path").agg(
-        F.sum("k").alias("m"), F.sum(F.col("k") * F.log("k")).alias("klogk"))
+        F.sum("k").alias("shown"), F.sum(F.col("k") * F.log("k")).alias("klogk"))
     presentation = shown.select("host", "path", F.when(
-        F.col("m") > 1, (F.log("m") - F.col("klogk") / F.col("m")) / F.log("m")).otherwise(1.0).alias("presentation"))
+        F.col("shown") > 1, (F.log("shown") - F.col("klogk") / F.col("shown")) / F.log("shown")).otherwise(1.0).alias("presentation"))
     items = pages.select("host", "page", F.explode("contents").alias("c")).select("host", "page", "c.*")
-    filled = items.groupBy("host", "path").agg(F.count_distinct("page").alias("m"))
-    texts = items.groupBy("host", "path", "item").agg(F.count("*").alias("k"))
-    content = (texts.join(filled, ["host", "path"]).where(F.col("m") >= MIN_PAGES)
-               .groupBy("host", "path").agg((1 - F.avg(F.log("k") / F.log("m"))).alias("content")))
-    return (content.join(presentation, ["host", "path"], "left")
-            .select("host", "path", (STYLE_SHARE * F.coalesce("presentation", F.lit(1.0))
-                                     + (1 - STYLE_SHARE) * F.col("content")).alias("importance")))
+    filled = (items.groupBy("host", "path", "page").agg(F.sum("size").alias("size"), F.sum("linked").alias("linked"))
+              .groupBy("host", "path").agg(F.count("*").alias("m"), (F.sum("linked") / F.sum("size")).alias("linked")))
+    texts = stored(items.groupBy("host", "path", "branch", "item").agg(
+        F.count_distinct("page").alias("k"), F.sum("size").alias("size")), "items")
+    share = F.when(F.col("m") > 1, F.log("k") / F.log("m")).otherwise(0.0)
+    content = (texts.join(filled, ["host", "path"]).groupBy("host", "path")
+               .agg((1 - F.avg(share)).alias("content"), F.first("m").alias("m"), F.first("linked").alias("linked")))
+    paths = (content.join(presentation, ["host", "path"], "left")
+             .select("host", "path", "m", "linked", (STYLE_SHARE * F.coalesce("presentation", F.lit(0.0))
+                                                     + (1 - STYLE_SHARE) * F.col("content")).alias("importance")))
+    hosts = pages.groupBy("host").agg(F.count("*").alias("m"))
+    varied = stored(texts.join(hosts, "host").groupBy("host", "m", "branch").agg(
+        F.sum(F.col("size") * (1 - share)).alias("varied")), "varied")
+    whole = varied.groupBy("host").agg(F.sum("varied").alias("all"))
+    outside = 1 - F.col("varied") / F.col("all")
+    frames = (varied.where("branch is not null").join(whole, "host").where("all > 0")
+              .select("host", "branch", "m", (1 - F.least(F.lit(1.0), 10 * outside)).alias("frame")))
+    return paths, frames
 
 
 def main_text(
-    pages: DataFrame, threshold: float = THRESHOLD,
-    id_column: str = "page_id", url_column: str = "url", html_column: str = "html",
+    pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html",
 ) -> DataFrame:
-    """``page_id``, ``url``, ``text``, ``n_chars`` of every page.
+    """``page_id``, ``url``, ``text``, ``n_chars`` of every page, and ``n_removed``.
 
-    Blocks are joined by line breaks; white space inside a block is one space. A null or
-    empty page has an empty text. A null url belongs to a host of its own. Repeated rows are
-    all returned. Other columns are not looked at; an empty table gives no row.
+    Blocks are joined by line breaks; white space inside a block is one space. If any block that is
+    called main is left, the others go. ``n_removed`` counts the blocks that markup does not call noise and the tree
+    removed. A null or empty page has an empty text. Pages with a null or broken url are one host. Repeated rows are
+    all returned. Very long and deeply nested pages take time and memory in proportion. Other columns
+    are not looked at, whatever their names; an empty table gives no row.
     """
     plain = pages.select(F.col(id_column).cast("long").alias("page_id"), F.col(url_column).alias("url"),
                          F.col(html_column).alias("html"))
     parsed = stored(plain.mapInArrow(_pages, SCHEMA).withColumn("row", F.monotonically_increasing_id()), "parsed")
-    # only branches on which markup is silent hang on the tree
-    doubtful = parsed.where(F.exists("blocks", lambda b: b["open"]))
-    low = style_tree(parsed).where(F.col("importance") < threshold)
-    asked = doubtful.select("row", "host", F.explode(F.array_distinct(F.transform(
-        F.filter("blocks", lambda b: b["open"]), lambda b: b["path"]))).alias("path"))
-    removed = asked.join(low, ["host", "path"]).groupBy("row").agg(F.collect_set("path").alias("removed"))
-    none = F.array().cast("array<long>")
-    pruned = (doubtful.join(removed, "row", "left").withColumn("removed", F.coalesce("removed", none))
-              .unionByName(parsed.where(~F.exists("blocks", lambda b: b["open"])).withColumn("removed", none)))
-    left = F.filter("blocks", lambda b: ~(b["open"] & F.array_contains("removed", b["path"])))
-    return pruned.select(
-        "page_id", "url", F.array_join(F.transform(left, lambda b: b["text"]), "\n").alias("text")
-    ).withColumn("n_chars", F.length("text").cast("long"))
+    paths, frames = style_tree(parsed)
+    # kind: the standing in which a path is removed, or NOISE for a branch that is a frame
+    low = [paths.withColumn("seen", F.col("importance") * (1 - F.col("linked") if kind == OPEN else F.lit(1)))
+           .where(_with_prior(prior, "seen") < cut).select("host", F.lit(kind).alias("kind"), F.col("path").alias("id"))
+           for kind, (prior, cut) in PRIOR.items()]
+    verdicts = stored(low[0].union(low[1]).union(
+        frames.where(_with_prior(FRAME_PRIOR, "frame") >= FRAME).select("host", F.lit(NOISE), "branch")), "verdicts")
+    asked = parsed.select("row", "host", F.explode("blocks").alias("b")).select("row", "host", F.explode(F.array(
+        F.struct(F.col("b.inner").cast("int").alias("kind"), F.col("b.path").alias("id")),
+        F.struct(F.lit(NOISE).alias("kind"), F.col("b.branch").alias("id")))).alias("q")).select("row", "host", "q.*")
+    found = stored(asked.where("id is not null").distinct().join(verdicts, ["host", "kind", "id"]).groupBy("row").agg(
+        F.collect_list(F.struct("kind", "id")).alias("found")), "found")
+
+    def told(kind, name):
+        return F.exists("found", lambda f: (f["kind"] == kind) & (f["id"] == name))
+
+    judged = parsed.select("row", "page_id", "url", "blocks").join(found, "row", "left").withColumn(
+        "found", F.coalesce("found", F.array().cast("array<struct<kind:int,id:long>>"))).withColumn(
+        "open", F.filter("blocks", lambda b: (b["standing"] != NOISE) | told(NOISE, b["branch"]))).withColumn(
+        "left", F.filter("open", lambda b: ~told(b["inner"], b["path"])))
+    main = F.filter("left", lambda b: b["inner"] == MAIN)
+    return judged.withColumn("main", main).withColumn("left", F.when(F.size("main") > 0, F.col("main")).otherwise(F.col("left"))).select(
+        "page_id", "url", F.array_join(F.transform("left", lambda b: b["text"]), "\n").alias("text"),
+        F.size(F.filter("open", lambda b: told(b["inner"], b["path"]))).cast("long").alias("n_removed")
+    ).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_removed")
 
 
 def op1_html(spark: SparkSession, folder: str) -> DataFrame:

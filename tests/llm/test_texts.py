@@ -1,6 +1,7 @@
 import hashlib
 import io
 import re
+import time
 import zlib
 
 import duckdb
@@ -37,6 +38,69 @@ def test_style_tree_removes_what_repeats(spark):
     assert got == {k: f"Own text {k}" for k in range(8)} | {100: "Same line"}
 
 
+PAGES = "page_id long, url string, html string"
+
+
+def texts_of(spark, pages):
+    return {r.page_id: r.text for r in html.main_text(spark.createDataFrame(pages, PAGES)).collect()}
+
+
+def test_pages_with_meaningless_names(spark):
+    """Menus that repeat, a menu of other links on every page and a notice, none of which markup names."""
+    pages = [(k, f"http://h.example/{k}", f"<body><div class=k1><p>Home</p><p>About</p></div><div class=k2><a href='/x'>w{k}</a> <a href='/x'>v{k}</a></div>"
+              f"<div class=k3><h2><a href='/x'>Title {k}</a></h2><p>Some <a href='/x'>words</a> of page {k} and more</p></div><div class=k4>We set things</div></body>")
+             for k in range(12)]
+    assert texts_of(spark, pages) == {k: f"Title {k}\nSome words of page {k} and more" for k in range(12)}
+
+
+def test_entropy_overrules_markup(spark):
+    """A menu called content that never changes, and a form around the whole page with an advert inside."""
+    pages = [(k, "http://a.example/", f"<div class=content>Home About</div><div class=x><p>Text {k}</p></div>") for k in range(40)]
+    pages += [(100 + k, "http://b.example/", f"<form id=all><div class=ad>Buy {k}</div><div><p>{'Long text of the page ' * 9}{k}</p></div></form>")
+              for k in range(40)]
+    pages += [(200 + k, "http://c.example/", f"<nav>Menu {k}</nav><div class=comments>{'much said ' * 9}{k}</div><article>Text of some length {k}</article>") for k in range(40)]
+    pages += [(300 + k, "http://d.example/", f"<nav>Menu of this page {k}</nav>") for k in range(3)]
+    got = texts_of(spark, pages)
+    assert [got[k] for k in range(40)] == [f"Text {k}" for k in range(40)]
+    assert [got[100 + k] for k in range(40)] == [f"{'Long text of the page ' * 9}{k}" for k in range(40)]
+    assert [got[200 + k] for k in range(40)] == [f"Text of some length {k}" for k in range(40)]
+    assert [got[300 + k] for k in range(3)] == [""] * 3
+
+
+def test_style_tree_by_brute_force(spark):
+    draw = np.random.default_rng(5)
+    names = ["a", "b", "ad", "content", "c"]
+    pages = [(k, f"http://h{k % 3}.example/", "".join(
+        f"<div class={names[draw.integers(5)]}>" + "".join(f"<p>t{draw.integers(6)}</p>" for _ in range(draw.integers(1, 4))) + "</div>"
+        for _ in range(4))) for k in range(60)]
+    parsed = spark.createDataFrame(pages, PAGES).mapInArrow(html._pages, html.SCHEMA)
+    got = {(r.host, r.path): (r.m, r.importance) for r in html.style_tree(parsed)[0].collect()}
+    hosts = {}
+    for _, url, source in sorted(pages, key=lambda r: html._long(r[2]), reverse=True):
+        page = html.Page(source)
+        hosts.setdefault(html.host_of(url), {})[tuple(b.text for b in page.blocks if b.standing != html.NOISE) or source] = page
+    want = {}
+    for host, different in hosts.items():
+        for path in {b.path for p in different.values() for b in p.blocks}:
+            holds = [{(b.branch, b.text) for b in p.blocks if b.path == path} for p in different.values()]
+            m = sum(map(bool, holds))
+            kinds = [sum(t in h for h in holds) for t in set().union(*holds)]
+            content = 1 - np.mean([np.log(k) / np.log(m) if m > 1 else 0 for k in kinds])
+            styles = [tuple(p.below[path]) for p in different.values() if path in p.below]
+            shares = np.array([styles.count(t) / len(styles) for t in set(styles)])
+            shown = -(shares * np.log(shares)).sum() / np.log(len(styles)) if len(styles) > 1 else len(styles)
+            want[host, path] = m, html.STYLE_SHARE * shown + (1 - html.STYLE_SHARE) * content
+    assert got.keys() == want.keys()
+    assert all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 1e-9 for k in want)
+
+
+def test_nesting_is_linear():
+    start = time.monotonic()
+    for inner in ("<div>" * 100_000, "<b>" * 50_000 + "<p>x" * 50_000, "<ul><li>" + "<div>" * 50_000 + "<li>x" * 50_000, "<div><i>" * 50_000 + "</p>" * 50_000):
+        html.Page(inner + "word")
+    assert time.monotonic() - start < 20
+
+
 def test_pages_awkward(spark):
     long_page = "<article>" + "<p>word &amp; word</p>" * 20_000 + "</article>"
     rows = [(1, None, None, "a"), (2, "http://[bad", "", "b"), (3, "u", long_page, "c"), (3, "u", long_page, "c"), (None, "u", "<p>x", None)]

@@ -29,7 +29,7 @@ from urllib.parse import urlsplit
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from namewire.llm.base import stored, table
+from namewire.llm.base import semi_join, stored, table
 
 STYLE_SHARE = 0.1  # of presentation in an importance; the rest is content
 PRIOR_PAGES = 3  # pages that a prior counts as
@@ -244,22 +244,31 @@ def host_of(url: str | None) -> str:
 
 
 BLOCK = pa.struct([("path", pa.int64()), ("standing", pa.int8()), ("text", pa.string()), ("branch", pa.int64()), ("inner", pa.int8())])
-NODE = pa.struct([("path", pa.int64()), ("style", pa.int64())])
-CONTENT = pa.struct([("path", pa.int64()), ("branch", pa.int64()), ("item", pa.int64()), ("size", pa.int64()), ("linked", pa.int64())])
+NODE = pa.struct([("path", pa.int64()), ("style", pa.int64()), ("size", pa.int64()), ("linked", pa.int64())])
+CONTENT = pa.struct([("path", pa.int64()), ("branch", pa.int64()), ("item", pa.int64()), ("size", pa.int64())])
 SCHEMA = ("page_id long, url string, host string, page long, source long,"
           " blocks array<struct<path:long,standing:tinyint,text:string,branch:long,inner:tinyint>>,"
-          " nodes array<struct<path:long,style:long>>,"
-          " contents array<struct<path:long,branch:long,item:long,size:long,linked:long>>")
+          " nodes array<struct<path:long,style:long,size:long,linked:long>>,"
+          " contents array<struct<path:long,branch:long,item:long,size:long>>")
 
 
-def _contents(page: Page) -> list[dict]:
-    """Different texts of each path of a page, with their letters and those of them in links."""
-    sums: dict[tuple, list[int]] = {}
+def _nodes(page: Page) -> list[dict]:
+    """Each path of a page: what stands below it, the letters of its texts and those in links."""
+    sums: dict[int, list[int]] = {p: [0, 0] for p in page.below}
     for b in page.blocks:
-        found = sums.setdefault((b.path, b.branch, _long(b.text)), [0, 0])
+        found = sums.setdefault(b.path, [0, 0])
         found[0] += len(b.text)
         found[1] += b.linked
-    return [{"path": p, "branch": r, "item": i, "size": n, "linked": k} for (p, r, i), (n, k) in sums.items()]
+    return [{"path": p, "style": _long(*page.below[p]) if p in page.below else None, "size": n, "linked": k} for p, (n, k) in sums.items()]
+
+
+def _contents(page: Page) -> list[dict]:
+    """Different texts of each path of a page, with their letters."""
+    sums: dict[tuple, int] = {}
+    for b in page.blocks:
+        key = b.path, b.branch, _long(b.text)
+        sums[key] = sums.get(key, 0) + len(b.text)
+    return [{"path": p, "branch": r, "item": i, "size": n} for (p, r, i), n in sums.items()]
 
 
 def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,7 +284,7 @@ def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 out["source"].append(_long(source or ""))
                 out["blocks"].append([{"path": b.path, "standing": b.standing, "text": b.text, "branch": b.branch, "inner": b.inner}
                                       for b in page.blocks if b.inner != NOISE])
-                out["nodes"].append([{"path": p, "style": _long(*tags)} for p, tags in page.below.items()])
+                out["nodes"].append(_nodes(page))
                 out["contents"].append(_contents(page))
             yield pa.RecordBatch.from_arrays([
                 part.column("page_id"), part.column("url"), pa.array(out["host"], pa.string()), pa.array(out["page"], pa.int64()),
@@ -298,31 +307,30 @@ def style_tree(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     text that differs from page to page and stands outside the branch nears none of the host's.
     """
     # a copy of a page counts once
-    pages = stored(parsed.groupBy("host", "page").agg(
-        F.min_by("nodes", "source").alias("nodes"), F.min_by("contents", "source").alias("contents")), "pages")
-    styles = (pages.select("host", F.explode("nodes").alias("n")).select("host", "n.*")
-              .groupBy("host", "path", "style").agg(F.count("*").alias("k")))
-    shown = styles.groupBy("host", "path").agg(
-        F.sum("k").alias("shown"), F.sum(F.col("k") * F.log("k")).alias("klogk"))
+    firsts = parsed.groupBy("host", "page").agg(F.min(F.struct("source", "row")).getField("row").alias("row")).select("row")
+    pages = semi_join(parsed.select("row", "host", "nodes", "contents"), stored(firsts, "firsts"), "row")
+    nodes = pages.select("host", F.explode("nodes").alias("n")).select("host", "n.*")
+    shown = (nodes.where("style is not null").groupBy("host", "path", "style").agg(F.count("*").alias("k"))
+             .groupBy("host", "path").agg(F.sum("k").alias("shown"), F.sum(F.col("k") * F.log("k")).alias("klogk")))
     presentation = shown.select("host", "path", F.when(
         F.col("shown") > 1, (F.log("shown") - F.col("klogk") / F.col("shown")) / F.log("shown")).otherwise(1.0).alias("presentation"))
-    items = pages.select("host", "page", F.explode("contents").alias("c")).select("host", "page", "c.*")
-    filled = (items.groupBy("host", "path", "page").agg(F.sum("size").alias("size"), F.sum("linked").alias("linked"))
-              .groupBy("host", "path").agg(F.count("*").alias("m"), (F.sum("linked") / F.sum("size")).alias("linked")))
-    texts = stored(items.groupBy("host", "path", "branch", "item").agg(
-        F.count_distinct("page").alias("k"), F.sum("size").alias("size")), "items")
-    share = F.when(F.col("m") > 1, F.log("k") / F.log("m")).otherwise(0.0)
-    content = (texts.join(filled, ["host", "path"]).groupBy("host", "path")
-               .agg((1 - F.avg(share)).alias("content"), F.first("m").alias("m"), F.first("linked").alias("linked")))
+    filled = nodes.where("size > 0").groupBy("host", "path").agg(
+        F.count("*").alias("m"), (F.sum("linked") / F.sum("size")).alias("linked"))
+    texts = (pages.select("host", F.explode("contents").alias("c")).select("host", "c.*")
+             .groupBy("host", "path", "branch", "item").agg(F.count("*").alias("k"), F.sum("size").alias("size")))
+    fresh = F.when(F.col("m") > 1, 1 - F.log("k") / F.log("m")).otherwise(1.0)
+    summed = stored(texts.join(filled, ["host", "path"]).groupBy("host", "path", "branch").agg(
+        F.sum(fresh).alias("fresh"), F.count("*").alias("items"), F.sum(F.col("size") * fresh).alias("varied"),
+        F.first("m").alias("m"), F.first("linked").alias("linked")), "paths")
+    content = summed.groupBy("host", "path").agg(
+        (F.sum("fresh") / F.sum("items")).alias("content"), F.first("m").alias("m"), F.first("linked").alias("linked"))
     paths = (content.join(presentation, ["host", "path"], "left")
              .select("host", "path", "m", "linked", (STYLE_SHARE * F.coalesce("presentation", F.lit(0.0))
                                                      + (1 - STYLE_SHARE) * F.col("content")).alias("importance")))
     hosts = pages.groupBy("host").agg(F.count("*").alias("m"))
-    varied = stored(texts.join(hosts, "host").groupBy("host", "m", "branch").agg(
-        F.sum(F.col("size") * (1 - share)).alias("varied")), "varied")
-    whole = varied.groupBy("host").agg(F.sum("varied").alias("all"))
+    whole = summed.groupBy("host").agg(F.sum("varied").alias("all")).where("all > 0").join(hosts, "host")
     outside = 1 - F.col("varied") / F.col("all")
-    frames = (varied.where("branch is not null").join(whole, "host").where("all > 0")
+    frames = (summed.where("branch is not null").groupBy("host", "branch").agg(F.sum("varied").alias("varied")).join(whole, "host")
               .select("host", "branch", "m", (1 - F.least(F.lit(1.0), 10 * outside)).alias("frame")))
     return paths, frames
 
@@ -357,8 +365,16 @@ def main_text(
     def told(kind, name):
         return F.exists("found", lambda f: (f["kind"] == kind) & (f["id"] == name))
 
-    judged = parsed.select("row", "page_id", "url", "blocks").join(found, "row", "left").withColumn(
-        "found", F.coalesce("found", F.array().cast("array<struct<kind:int,id:long>>"))).withColumn(
+    # only pages of which the tree has something to say move
+    none = F.array().cast("array<struct<kind:int,id:long>>")
+    whole = parsed.select("row", "page_id", "url", "blocks")
+    if found.isEmpty():
+        whole = whole.withColumn("found", none)
+    else:
+        ids = found.select("row")
+        whole = semi_join(whole, ids, "row").join(found, "row").unionByName(
+            semi_join(whole, ids, "row", how="left_anti").withColumn("found", none))
+    judged = whole.withColumn(
         "open", F.filter("blocks", lambda b: (b["standing"] != NOISE) | told(NOISE, b["branch"]))).withColumn(
         "left", F.filter("open", lambda b: ~told(b["inner"], b["path"])))
     main = F.filter("left", lambda b: b["inner"] == MAIN)

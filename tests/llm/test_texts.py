@@ -9,6 +9,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from namewire.llm import decontamination, html, mixing, packing, secrets
@@ -73,7 +74,7 @@ def test_style_tree_by_brute_force(spark):
     pages = [(k, f"http://h{k % 3}.example/", "".join(
         f"<div class={names[draw.integers(5)]}>" + "".join(f"<p>t{draw.integers(6)}</p>" for _ in range(draw.integers(1, 4))) + "</div>"
         for _ in range(4))) for k in range(60)]
-    parsed = spark.createDataFrame(pages, PAGES).mapInArrow(html._pages, html.SCHEMA)
+    parsed = spark.createDataFrame(pages, PAGES).mapInArrow(html._pages, html.SCHEMA).withColumn("row", F.col("page_id"))
     got = {(r.host, r.path): (r.m, r.importance) for r in html.style_tree(parsed)[0].collect()}
     hosts = {}
     for _, url, source in sorted(pages, key=lambda r: html._long(r[2]), reverse=True):

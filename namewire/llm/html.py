@@ -356,11 +356,12 @@ def main_text(
            for kind, (prior, cut) in PRIOR.items()]
     verdicts = stored(low[0].union(low[1]).union(
         frames.where(_with_prior(FRAME_PRIOR, "frame") >= FRAME).select("host", F.lit(NOISE), "branch")), "verdicts")
+    # a path inside a branch called noise matters only if that branch is a frame
     asked = parsed.select("row", "host", F.explode("blocks").alias("b")).select("row", "host", F.explode(F.array(
-        F.struct(F.col("b.inner").cast("int").alias("kind"), F.col("b.path").alias("id")),
-        F.struct(F.lit(NOISE).alias("kind"), F.col("b.branch").alias("id")))).alias("q")).select("row", "host", "q.*")
+        F.struct(F.col("b.inner").cast("int").alias("kind"), F.col("b.path").alias("id"), (F.col("b.standing") != NOISE).alias("acts")),
+        F.struct(F.lit(NOISE).alias("kind"), F.col("b.branch").alias("id"), F.lit(True).alias("acts")))).alias("q")).select("row", "host", "q.*")
     found = stored(asked.where("id is not null").distinct().join(verdicts, ["host", "kind", "id"]).groupBy("row").agg(
-        F.collect_list(F.struct("kind", "id")).alias("found")), "found")
+        F.collect_set(F.struct("kind", "id")).alias("found"), F.bool_or("acts").alias("acts")).where("acts").drop("acts"), "found")
 
     def told(kind, name):
         return F.exists("found", lambda f: (f["kind"] == kind) & (f["id"] == name))

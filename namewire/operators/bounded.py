@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 CAPACITY = 100
+BUCKETS = 64  # of the result, so not a setting of the session; each is one sequential replay
 
 
 def _buffer(capacity: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
@@ -46,13 +47,8 @@ def bucket_of(buckets: int) -> Column:
     return F.pmod(F.xxhash64("name"), F.lit(buckets)).cast("int")
 
 
-def default_buckets(spark: SparkSession) -> int:
-    """As many buckets as there are shuffle partitions: each is one sequential replay."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def bounded_topk(
-    updates: DataFrame, state: DataFrame | None = None, capacity: int = CAPACITY, buckets: int | None = None,
+    updates: DataFrame, state: DataFrame | None = None, capacity: int = CAPACITY, buckets: int = BUCKETS,
     bucket: Column | None = None,
 ) -> DataFrame:
     """Changelog (bucket, seq, step, name, cnt, evicted) of a buffer of ``capacity`` names a bucket.
@@ -64,10 +60,9 @@ def bounded_topk(
 
     Updates (seq, name, cnt) are applied in ``seq`` order (then by name), one bucket after the other
     in a sorted stream of Arrow batches: a task holds one buffer, however many
-    updates a bucket has. Names are hashed over ``buckets``, the number of shuffle
-    partitions by default, or dealt by ``bucket``, an integer that depends on ``name`` alone.
+    updates a bucket has. Names are hashed over ``buckets``,
+    or dealt by ``bucket``, an integer that depends on ``name`` alone.
     """
-    buckets = buckets or default_buckets(updates.sparkSession)
     rows = updates.select("name", F.col("cnt").cast("bigint").alias("cnt"),
                           F.col("seq").cast("bigint").alias("seq"), F.lit(True).alias("is_update"))
     if state is not None:

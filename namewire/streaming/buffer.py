@@ -9,10 +9,9 @@ from pyspark.sql import Column, DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from namewire.operators.bounded import CAPACITY, bucket_of
+from namewire.operators.bounded import BUCKETS, CAPACITY, bucket_of
 from namewire.streaming.trailing import live_trailing_counts
 
-BUCKETS = 64
 SCHEMA = "bucket int, seq bigint, step bigint, name string, cnt bigint, evicted boolean"
 
 

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from namewire.operators.bounded import BUCKETS, CAPACITY, bucket_of
+from namewire.session import use_rocksdb_state
 from namewire.streaming.trailing import live_trailing_counts
 
 SCHEMA = "bucket int, seq bigint, step bigint, name string, cnt bigint, evicted boolean"
@@ -71,6 +72,7 @@ def live_bounded_topk(
     integer that depends on ``name`` alone. The number of buckets is fixed by the checkpoint, so it doesn't follow the size of
     the cluster. A task holds one bucket's updates of one micro-batch and its buffer. Rows without a name drop out.
     """
+    use_rocksdb_state(updates.sparkSession)
     dealt = bucket_of(buckets) if bucket is None else bucket.cast("int")
     rows = updates.where("name is not null").select(
         dealt.alias("bucket"), F.col("seq").cast("bigint").alias("seq"), "name", F.col("cnt").cast("bigint").alias("cnt"))

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.types import BooleanType, StructField, StructType
 
+from namewire.session import use_rocksdb_state
+
 LANES = 64
 _AT, _LANE = "_at_ms", "_lane"
 
@@ -38,6 +40,7 @@ def mark_late(events: DataFrame, ts: str = "ts", late: str = "1 day", lanes: int
     operators drop what is older than that without a trace; so the time column is handed to the processor as a plain
     value. Rows are dealt over ``lanes`` by a hash of all their columns. Rows without a time are not late.
     """
+    use_rocksdb_state(events.sparkSession)
     columns = [c for c in events.columns]
     plain = [F.timestamp_micros(F.unix_micros(F.col(c).cast("timestamp"))).alias(c) if c == ts else F.col(c) for c in columns]
     rows = events.withWatermark(ts, late).select(

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from namewire.operators.windows import HOUR, MINUTE
+from namewire.session import use_rocksdb_state
 
 _MS = 1000
 
@@ -100,6 +101,7 @@ def live_trailing_counts(mentions: DataFrame, size: int = HOUR, slide: int = MIN
     """
     if size % slide:
         raise ValueError("the window size must be a multiple of the slide")
+    use_rocksdb_state(mentions.sparkSession)
     counts = (
         mentions.where("ts is not null and name is not null").withWatermark("ts", late)
         .groupBy(F.window("ts", f"{slide} seconds").alias("_slot"), "name").agg(F.count("*").alias("cnt"))

@@ -167,3 +167,32 @@ def test_late_rows_are_kept_aside(spark, tmp_path):
         want |= {r[0] for r in p if r[1] is not None and r[1] < newest - dt.timedelta(hours=3)}
         newest = max([newest, *(r[1] for r in p if r[1] is not None)])
     assert {r.id for r in behind.collect()} == want and 10 < len(want) < 100
+
+
+@pytest.fixture
+def made_elsewhere(spark):
+    """Settings as Spark has them, not as the library sets them."""
+    names = ["spark.sql.streaming.stateStore.providerClass", "spark.sql.shuffle.partitions"]
+    before = {name: spark.conf.get(name) for name in names}
+    spark.conf.set(names[0], "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    spark.conf.set(names[1], "50")
+    yield spark
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def test_late_rows_on_a_session_made_elsewhere(made_elsewhere, tmp_path):
+    spark = made_elsewhere
+    events = spark.sql("select id, timestamp_seconds(id * 100000) as ts from range(4)")
+    pieces = [events.where("id > 1"), events.where("id <= 1")]
+    feed(pieces, f"{tmp_path}/in", lambda found: split_late(
+        mark_late(found), f"{tmp_path}/out", f"{tmp_path}/checkpoint", {"availableNow": True}))
+    assert rows(read_epochs(spark, f"{tmp_path}/out/late").select("id")) == [(0,), (1,)]
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "50"
+
+
+def test_buffer_on_a_session_made_elsewhere(made_elsewhere, tmp_path):
+    spark = made_elsewhere
+    updates = spark.sql("select id as seq, cast(id % 3 as string) as name, id as cnt from range(6)")
+    out, _ = feed_and_read([updates], str(tmp_path), lambda found: live_bounded_topk(found, capacity=2, buckets=1))
+    assert read_epochs(spark, out).where("evicted").count() > 0

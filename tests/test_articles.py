@@ -145,3 +145,14 @@ def test_moved_splits_never_lose_lines(spark, tmp_path):
             assert got == sorted(list(range(1000)) * 3)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_combined_mentions_count_alike(spark):
+    lists = ["Bob,1;Ann,2;Bob,3;", ";,9;Type ParentCategory,4;Type ParentCategory;Type ParentCategoryX,1", "", "Ann", "é,1;é;Ann,5,6;Bob"]
+    made = [(article(f"2024010{1 + k % 2}130000", names, k), f"s{k % 3}") for k, names in enumerate(lists * 3)]
+    lines = spark.createDataFrame([*made, (article(fields=26, names="Bob,1"), "s0"), (article("0", "Bob,1"), None)], "value string, segment string")
+    keys = ["publish_date", "segment", "name"]
+    each = name_counts(names_by_date(lines, keep=["segment"]), keys)
+    combined = names_by_date(lines, keep=["segment"], weight="times")
+    assert rows(name_counts(combined, keys, weight="times")) == rows(each)
+    assert combined.count() < names_by_date(lines).count()

@@ -196,3 +196,16 @@ def test_buffer_on_a_session_made_elsewhere(made_elsewhere, tmp_path):
     updates = spark.sql("select id as seq, cast(id % 3 as string) as name, id as cnt from range(6)")
     out, _ = feed_and_read([updates], str(tmp_path), lambda found: live_bounded_topk(found, capacity=2, buckets=1))
     assert read_epochs(spark, out).where("evicted").count() > 0
+
+
+def test_lines_stay_behind_where_they_are_not_wanted(spark, tmp_path):
+    lines = spark.createDataFrame([(article("20240101100000", "Ann,1", key="a-1"),)] * 2 + [(article("20240101110000", "Bob,1", key="b-1"),)], "value string")
+    out, runs = feed_and_read([lines], str(tmp_path), lambda found: distinct_lines(found, keep_value=False), "append")
+    found = read_epochs(spark, out)
+    assert "value" not in found.columns and rows(found.select("record_id")) == [("a-1",), ("b-1",)]
+
+
+def test_pieces_are_packed(spark, tmp_path):
+    lines = spark.range(1).select(F.repeat(F.lit("x"), 1000).alias("value"))
+    feed_and_read([lines], str(tmp_path), lambda found: found, "append")
+    assert any(".zstd." in f.name for f in (tmp_path / "in").iterdir())

@@ -209,3 +209,10 @@ def test_pieces_are_packed(spark, tmp_path):
     lines = spark.range(1).select(F.repeat(F.lit("x"), 1000).alias("value"))
     feed_and_read([lines], str(tmp_path), lambda found: found, "append")
     assert any(".zstd." in f.name for f in (tmp_path / "in").iterdir())
+
+
+def test_window_counts_lie_in_rocksdb(made_elsewhere, tmp_path):
+    events = made_elsewhere.sql("select timestamp_seconds(id) as ts, 'a' as name from range(3)")
+    out, _ = feed_and_read([events], str(tmp_path), live_hopping_counts)
+    assert "RocksDB" in made_elsewhere.conf.get("spark.sql.streaming.stateStore.providerClass")
+    assert read_epochs(made_elsewhere, out).agg(F.max("cnt")).first()[0] == 3

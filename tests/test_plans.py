@@ -118,3 +118,12 @@ def test_shared_folder_is_the_sessions(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     assert shared_root(spark) == root and scratch_path(spark, "x").startswith(root)
     assert build_session() is not None
+
+
+def test_written_lines_are_packed(spark, small, tmp_path, monkeypatch):
+    from namewire.plans import registry
+
+    monkeypatch.setattr(registry, "scratch_path", lambda _, label: str(tmp_path / label))
+    registry.top_names_in_few_partitions(spark, small)
+    parts = [f.name for f in (tmp_path / "articles").iterdir() if f.name.startswith("part-")]
+    assert parts and all(name.endswith(".gz") for name in parts)

@@ -141,6 +141,19 @@ def test_network_learns_keys():
     assert (p[:300] >= net.threshold).mean() >= 0.97 and (p[300:] >= net.threshold).mean() <= 0.02
 
 
+def test_network_learns_from_all_findings_in_many_tasks(spark):
+    draw = np.random.Generator(np.random.PCG64(8))
+    # more than a task sees
+    keys = ["".join(draw.choice(list("0123456789abcdef"), 32)) for _ in range(1500)]
+    others = [f"user{draw.integers(10, 9999)}_{'abcdefgh' * 2}" for _ in range(1500)]
+    views = [secrets.view(f"some words {t} and more", 11, 11 + len(t)) for t in keys + others]
+    frame = spark.createDataFrame(list(zip([1] * 1500 + [0] * 1500, views)), "label int, view string")
+    net = secrets.fitted(frame, per_task=1000)
+    p = net.probability(secrets.encode(views))
+    assert (p[:1500] >= net.threshold).mean() >= 0.96 and (p[1500:] >= net.threshold).mean() <= 0.02
+    assert 0.98 <= net.recall <= 1 and net.precision >= 0.98
+
+
 def test_candidates_are_linear_and_whole():
     import time
 

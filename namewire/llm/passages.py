@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from namewire.llm.base import semi_join, stored, table
 from namewire.llm.words import Hasher, mix, shingles, texts
@@ -211,6 +211,14 @@ def _compare(least: int, percent: int):
     return run
 
 
+def longest(spans: DataFrame, by: list[str]) -> DataFrame:
+    """The spans ``start``, ``end`` of each group that lie in no other one of it."""
+    before = Window.partitionBy(*by).orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    reached = F.coalesce(F.max("end").over(before), F.lit(-1))
+    return (spans.groupBy(*by, "start").agg(F.max("end").alias("end")).withColumn("_reached", reached)
+            .where(F.col("end") > F.col("_reached")).drop("_reached"))
+
+
 def repeated_passages(
     documents: DataFrame, least_words: int = LEAST_WORDS, percent: int = PERCENT, hashes: int = HASHES,
     id_column: str = "doc_id", text_column: str = "text",
@@ -264,13 +272,17 @@ def repeated_passages(
         spans = stored(spans, "spans")
         both = whole.union(spans.where("a <> b").selectExpr("a", "start_a", "end_a", "b")).union(
             spans.where("a <> b").selectExpr("b", "start_b", "end_b", "a"))
+    ids = classes.select(F.col("node").alias("other"), F.col("id").alias("partner"))
+    partners = both.select("node", "other").distinct().join(ids, "other").groupBy("node").agg(F.min("partner").alias("partner"))
+    # what lies in a longer span adds nothing, so a text has at most one span a place, whatever the number of others
+    both = longest(both.select("node", "start", "end"), ["node"])
+    if spans is not None:
         # what a text has twice is shared twice
-        twice = spans.where("a = b").selectExpr("a as node", "start_a", "end_a", "start_b - start_a as move").distinct()
+        twice = longest(spans.where("a = b").selectExpr("a as node", "start_b - start_a as move", "start_a as start", "end_a as end"),
+                        ["node", "move"]).withColumnsRenamed({"start": "start_a", "end": "end_a"})
         both = both.union(both.join(twice, "node").selectExpr(
-            "node", "greatest(start, start_a) + move as start", "least(end, end_a) + move as end", "other")
+            "node", "greatest(start, start_a) + move as start", "least(end, end_a) + move as end")
             .where(F.col("end") - F.col("start") >= least_words))
-    ids = classes.select(F.col("node").alias("other"), F.col("id").alias("partner"))
-    partners = both.select("node", "other").distinct().join(ids, "other").groupBy("node").agg(F.min("partner").alias("partner"))
     merged = F.aggregate(
         F.sort_array(F.collect_set(F.struct("start", "end"))), F.expr("cast(array() as array<struct<start:int,end:int>>)"),
         lambda done, s: F.when(

@@ -210,3 +210,11 @@ def test_neighbours_of_doubles(spark):
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, node string")
     got = {r.vec_id: r.component_id for r in neighbours.near_duplicates(table).collect()}
     assert got == {1: 1, 2: 1, 3: 3}
+
+
+def test_longest_spans(spark):
+    draw = random.Random(3)
+    rows = [(draw.randrange(4), *sorted(draw.sample(range(25), 2))) for _ in range(60)]
+    got = sorted(tuple(r) for r in passages.longest(spark.createDataFrame(rows, "node long, start int, end int"), ["node"]).collect())
+    assert got == sorted({(n, s, e) for n, s, e in rows if not any(
+        m == n and t <= s and e <= f and (t, f) != (s, e) for m, t, f in rows)})

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from namewire.functions.times import epoch_floor, segment_name
@@ -26,10 +28,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return use_utc(spark).read.schema(table_schema(spark, path)).parquet(path)
 
 
+PART_BYTES, FULL_PART_BYTES = 4 << 20, 128 << 20
+
+
+def line_partitions(spark: SparkSession, line_bytes: float) -> int:
+    """Three tasks a core once lines fill them by 4 MB each, and more for tasks of 128 MB beyond that."""
+    even = min(3 * spark.sparkContext.defaultParallelism, math.ceil(line_bytes / PART_BYTES))
+    return max(1, even, math.ceil(line_bytes / FULL_PART_BYTES))
+
+
 def article_lines(spark: SparkSession, folder: str) -> DataFrame:
     """An article line per event, that names every word of a document.
 
-    Some lines have a field too few, a trailing empty entry, or the junk name.
+    Some lines have a field too few, a trailing empty entry, or the junk name. The join reads little and
+    makes much: its partitions are dealt by the bytes of the lines, not by those of the two tables.
     """
     words = F.split(F.translate("text", "\n\t\r", "   "), " ")
     listed = F.transform(words, lambda w, i: F.concat(w, F.lit(","), i + 1))
@@ -49,6 +61,9 @@ def article_lines(spark: SparkSession, folder: str) -> DataFrame:
         "\t", F.concat_ws("-", stamp, "event_id"), stamp, F.repeat(F.lit("\t"), 20), names,
         F.lit(""), F.lit(""), F.when(event % 17 != 0, ""),
     )
+    text_bytes = table(spark, folder, "documents").agg(F.avg(F.octet_length("text"))).first()[0] or 0
+    parts = line_partitions(spark, events.count() * text_bytes)
+    events, texts = (side.repartition(parts, "doc_id") for side in (events, texts))
     return events.join(texts, "doc_id").select("event_id", "ts", line.alias("value"))
 
 

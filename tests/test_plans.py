@@ -12,7 +12,7 @@ from namewire.operators.windows import hopping_counts, newest_counts
 from namewire.plans.registry import QUERIES
 from namewire.session import build_session, scratch_path, shared_root, sizing
 from namewire.sources.articles import read_articles
-from namewire.sources.tables import mentions, table
+from namewire.sources.tables import article_lines, mentions, table
 
 PYTHON_QUERIES = {"bounded_topk"}
 
@@ -127,3 +127,13 @@ def test_written_lines_are_packed(spark, small, tmp_path, monkeypatch):
     registry.top_names_in_few_partitions(spark, small)
     parts = [f.name for f in (tmp_path / "articles").iterdir() if f.name.startswith("part-")]
     assert parts and all(name.endswith(".gz") for name in parts)
+
+
+def test_lines_of_few_documents_are_dealt_by_their_bytes(spark, tmp_path):
+    texts = [(k, f"name{k} " * 1000) for k in range(40)] + [(39, "again"), (None, "no id"), (40, None)]
+    spark.createDataFrame(texts, "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.range(3000).selectExpr("id as event_id", "timestamp_seconds(1704067200 + id) as ts").coalesce(1).write.parquet(
+        str(tmp_path / "events.parquet"))
+    lines = article_lines(spark, str(tmp_path))
+    dealt = lines.groupBy(F.spark_partition_id()).count().collect()
+    assert len(dealt) >= 4 and sum(r["count"] for r in dealt) == 3000 // 43 * 42 + 33

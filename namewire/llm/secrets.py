@@ -122,6 +122,26 @@ def _pass(state: np.ndarray, step: int, seed: int):
     return run
 
 
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row: the sums of ``n`` and of ``state``."""
+    n, total = 0, None
+    for batch in batches:
+        for rows, state in zip(batch.column("n").to_pylist(), batch.column("state")):
+            state = state.values.to_numpy()
+            n, total = n + rows, state if total is None else total + state
+    if n:
+        yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([total], pa.list_(pa.float64()))], names=["n", "state"])
+
+
+def mean_state(passed: DataFrame, tasks: int) -> np.ndarray | None:
+    """Mean of the arrays ``state``, each counted ``n`` times; summed as arrays, by about the root of ``tasks`` at a time."""
+    weighted = passed.select("n", F.transform("state", lambda x: x * F.col("n")).alias("state"))
+    for parts in sorted({max(1, round(tasks ** 0.5)), 1}, reverse=True):
+        weighted = weighted.repartition(parts).mapInArrow(_summed, "n long, state array<double>")
+    whole = weighted.first()
+    return np.array(whole.state) / whole.n if whole else None
+
+
 def _outputs(net: "CharNet", probability: bool):
     """Raw outputs of the network, or probabilities, beside label and view."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,11 +165,10 @@ def trained(examples: DataFrame, recall: float = RECALL, per_task: int = TASK_FI
     for epoch in range(epochs):
         dealt = mine.repartition(tasks, "draw").sortWithinPartitions("draw", "view", "label").select("label", "view")
         passed = stored(dealt.mapInArrow(_pass(net.state(), step, epoch + 1), "n long, state array<double>"), "nets")
-        mean = passed.select("n", F.posexplode("state")).groupBy("pos").agg((F.sum(F.col("n") * F.col("col")) / F.sum("n")).alias("mean"))
-        rows = mean.orderBy("pos").toArrow()  # as many as the state has numbers
-        if not len(rows):
+        mean = mean_state(passed, tasks)
+        if mean is None:
             break
-        net.load(np.round(rows.column("mean").to_numpy(), 10))  # whatever the order of the sums
+        net.load(np.round(mean, 10))  # whatever the order of the sums
         step += -(-(passed.agg(F.max("n")).first()[0]) // BATCH)
 
     outputs = stored(held.mapInArrow(_outputs(net, False), "label int, view string, out double").select("label", "out"), "outputs")

@@ -154,6 +154,15 @@ def test_network_learns_from_all_findings_in_many_tasks(spark):
     assert 0.98 <= net.recall <= 1 and net.precision >= 0.98
 
 
+@pytest.mark.parametrize("tasks", [1, 40])
+def test_networks_are_averaged_as_arrays(spark, tasks):
+    draw = np.random.Generator(np.random.PCG64(3))
+    states, n = draw.normal(size=(40, 50)), draw.integers(1, 9, 40)
+    frame = spark.createDataFrame([(int(k), s.tolist()) for k, s in zip(n, states)], "n long, state array<double>")
+    assert np.allclose(secrets.mean_state(frame.repartition(7), tasks), n @ states / n.sum(), atol=1e-12)
+    assert secrets.mean_state(frame.limit(0), tasks) is None
+
+
 def test_candidates_are_linear_and_whole():
     import time
 

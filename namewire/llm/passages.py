@@ -242,13 +242,15 @@ def repeated_passages(
         F.col("w.lefts").alias("left"), F.col("w.rights").alias("right"))
     items = spans = None
     while True:
-        keys = stored(windows.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z"))
+        # counted first: that exchange of all windows is of keys and small numbers, nodes go only with keys found twice
+        again = stored(windows.groupBy("key").count().where("count > 1").select("key"), "keys-again")
+        members = stored(semi_join(windows, again, "key"), "members")
+        keys = stored(members.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z"))
                       .where("a <> z").select("key", "a"), "keys")
-        members = stored(semi_join(windows, keys.select("key"), "key"), "members")
-        if members.isEmpty():
+        if keys.isEmpty():
             break
         if items is None:
-            needed = members.select("node").distinct().join(classes, "node").select("id")
+            needed = semi_join(members, keys.select("key"), "key").select("node").distinct().join(classes, "node").select("id")
             items = stored(semi_join(plain, stored(needed.distinct(), "needed"), "id").mapInArrow(
                 _items, "node long, items binary"), "items")
         led = members.join(keys, "key")

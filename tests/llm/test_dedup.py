@@ -218,3 +218,23 @@ def test_longest_spans(spark):
     got = sorted(tuple(r) for r in passages.longest(spark.createDataFrame(rows, "node long, start int, end int"), ["node"]).collect())
     assert got == sorted({(n, s, e) for n, s, e in rows if not any(
         m == n and t <= s and e <= f and (t, f) != (s, e) for m, t, f in rows)})
+
+
+def test_passages_count_keys_before_their_nodes_travel(spark, monkeypatch):
+    """The exchange of all windows has a key and a number a row; what a text has twice alone is no match."""
+    labels = []
+    real = passages.stored
+
+    def seen(df, label, *args):
+        out = real(df, label, *args)
+        labels.append((label, out.columns, out.count()))
+        return out
+
+    monkeypatch.setattr(passages, "stored", seen)
+    own = prose(1, 70)
+    texts = [(1, own + " mid " + own), (2, prose(2, 90)), (3, prose(3, 90))]
+    found = passages.repeated_passages(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert found == []
+    first = [(columns, n) for label, columns, n in labels if label == "keys-again"][0]
+    assert first[0] == ["key"] and first[1] > 0
+    assert [n for label, _, n in labels if label == "keys"] == [0]

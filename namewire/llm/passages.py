@@ -18,6 +18,7 @@ are whole.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,9 +50,11 @@ def compact_windows(items: np.ndarray, at: np.ndarray, least: int, salt: int) ->
     one, two, width = order, np.full(n, np.uint64(2 ** 64 - 1)), 1
     while width < least:
         step = min(width, least - width)
-        a, b, c, d = one[:-step], one[step:], two[:-step], two[step:]
-        one, two = np.minimum(a, b), np.where(
-            a == b, np.minimum(c, d), np.minimum(np.maximum(a, b), np.where(a < b, c, d)))
+        a, b = one[:-step], one[step:]
+        rest = np.minimum(two[:-step], two[step:])
+        one, two = np.minimum(a, b), np.minimum(rest, np.maximum(a, b))
+        if step < width:  # the two share items, perhaps their smallest
+            two = np.where(a == b, rest, two)
         width += step
     start = np.flatnonzero(np.r_[True, (one[1:] != one[:-1]) | (two[1:] != two[:-1])])
     stop = np.r_[start[1:], len(one)] + least - 2
@@ -62,155 +65,228 @@ def compact_windows(items: np.ndarray, at: np.ndarray, least: int, salt: int) ->
     return np.minimum(p, q)[keep], np.maximum(p, q)[keep], start[keep], stop[keep]
 
 
-def _node(sequence: np.ndarray) -> int:
-    """64-bit name of a sequence of shingles."""
-    places = np.arange(1, len(sequence) + 1, dtype=np.uint64)
-    return int(mix(np.array([mix(sequence + mix(places)).sum(dtype=np.uint64)]))[:1].view(np.int64)[0])
+def sequences(hashes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Shingles of several texts, a 0 after those of each, where the texts' begin, and a 64-bit name of each sequence.
 
-
-def _sequences(column: pa.Array, hasher: Hasher) -> Iterator[list[tuple[np.ndarray, int]]]:
+    ``at`` cuts the hashes of words into those of the texts.
+    """
+    words = np.diff(at)
+    lengths = np.where(words < SHINGLE, np.minimum(words, 1), words - SHINGLE + 1) + 1
+    begin = np.cumsum(lengths) - lengths
+    items = np.zeros(int(lengths.sum()), np.uint64)
+    place = np.arange(len(items)) - np.repeat(begin, lengths)
+    inside = np.flatnonzero(place < np.repeat(lengths - 1, lengths))
+    if len(hashes) >= SHINGLE:
+        # a short text's only shingle is set below; what is taken here reaches over its end
+        from_word = np.repeat(at[:-1], lengths)[inside] + place[inside]
+        items[inside] = shingles(hashes, SHINGLE)[np.minimum(from_word, len(hashes) - SHINGLE)]
+    for k in np.flatnonzero((words > 0) & (words < SHINGLE)).tolist():
+        items[begin[k]] = shingles(hashes[at[k]: at[k + 1]], SHINGLE)[0]
+    named = np.zeros(len(items), np.uint64)
+    named[inside] = mix(items[inside] + mix(place[inside].astype(np.uint64) + np.uint64(1)))
+    nodes = mix(np.add.reduceat(named, begin)) if len(begin) else named
+    return items, begin, nodes.view(np.int64)
+
+
+def _parts(column: pa.Array, hasher: Hasher) -> Iterator[tuple[int, int, np.ndarray, tuple[np.ndarray, np.ndarray, np.ndarray]]]:
     for low, high, data, offsets in texts(column):
         hashes, _, _, at = hasher.words(data, offsets)
-        yield [(shingles(hashes[at[k]: at[k + 1]], SHINGLE), int(at[k + 1] - at[k])) for k in range(high - low)]
+        yield low, high, np.diff(at), sequences(hashes, at)
 
 
 def _sketch(least: int, hashes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for batch in batches:
-            at_row = 0
-            for part in _sequences(batch.column("text"), hasher):
-                lengths = np.array([len(s) for s, _ in part]) + 1
-                ends = np.cumsum(lengths)
-                items = np.concatenate([np.append(s, np.uint64(0)) for s, _ in part])
+            for at_row, to_row, n_words, (items, begin, nodes) in _parts(batch.column("text"), hasher):
+                lengths = np.diff(np.append(begin, len(items)))
+                text = np.repeat(np.arange(len(begin)), lengths)
                 found = []
                 for f in range(hashes):
-                    c, other, low, high = compact_windows(items, ends - 1, least, f)
-                    row = np.searchsorted(ends, c, side="right")
+                    c, other, low, high = compact_windows(items, begin + lengths - 1, least, f)
+                    row = text[c]
                     key = mix(items[c] + mix(items[other] + np.uint64(f))).view(np.int64)
-                    found.append(np.c_[row, key, c - (ends - lengths)[row], c - low, high - c])
-                found = np.concatenate(found)
-                found = found[np.argsort(found[:, 0], kind="stable")]
-                cuts = pa.array(np.searchsorted(found[:, 0], np.arange(len(part) + 1)).astype(np.int32))
-                columns = [pa.ListArray.from_arrays(cuts, pa.array(found[:, k], {1: pa.int64(), 2: pa.int32()}.get(k, pa.int8())))
-                           for k in range(1, 5)]
+                    found.append((row, key, (c - begin[row]).astype(np.int32), (c - low).astype(np.int8), (high - c).astype(np.int8)))
+                row, *columns = (np.concatenate(x) for x in zip(*found))
+                order = np.argsort(row, kind="stable")
+                cuts = pa.array(np.searchsorted(row[order], np.arange(len(begin) + 1)).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").slice(at_row, len(part)), pa.array([_node(s) for s, _ in part], pa.int64()),
-                     pa.array([n for _, n in part], pa.int64()), *columns],
+                    [batch.column("id").slice(at_row, to_row - at_row), pa.array(nodes), pa.array(n_words.astype(np.int64)),
+                     *(pa.ListArray.from_arrays(cuts, pa.array(x[order])) for x in columns)],
                     names=["id", "node", "n_words", "keys", "places", "lefts", "rights"])
-                at_row += len(part)
     return run
 
 
 def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hasher = Hasher()
     for batch in batches:
-        for part in _sequences(batch.column("text"), hasher):
-            for sequence, _ in part:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([_node(sequence)], pa.int64()), pa.array([sequence.astype(np.uint32).tobytes()], pa.binary())], names=["node", "items"])
+        for _, _, _, (items, begin, nodes) in _parts(batch.column("text"), hasher):
+            ends = np.append(begin[1:], len(items)) - 1
+            short = items.astype(np.uint32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(nodes), pa.array([short[i:j].tobytes() for i, j in zip(begin.tolist(), ends.tolist())], pa.binary())],
+                names=["node", "items"])
 
 
-def near_windows(a: np.ndarray, b: np.ndarray, ca: int, cb: int, least: int, percent: int) -> list[tuple[int, int, int, int]]:
-    """Passages around a pair of places that overlap by ``percent``: start and end in ``a``, start and end in ``b``.
+class Near:
+    """Passages of two texts that overlap by ``percent``, around pairs of places that hold the same item.
 
-    A passage has ``least`` items in one text and as many or more in the other, and starts and
-    ends with something that both have. Words put in or left out move its end, or its start.
+    What the texts have in common is looked up once for all their pairs of places.
     """
-    slack = least * (100 - percent) // percent
-    reach = least + slack - 1
-    from_a, from_b = max(0, ca - reach), max(0, cb - reach)
-    part_a, part_b = a[from_a: ca + reach + 1], b[from_b: cb + reach + 1]
-    kinds_b, place_b = np.unique(part_b, return_index=True)
-    kinds_a, place_a = np.unique(part_a, return_index=True)
-    at = np.minimum(np.searchsorted(kinds_b, kinds_a), len(kinds_b) - 1)
-    same = kinds_b[at] == kinds_a
-    i, j = place_a[same] + from_a, place_b[at[same]] + from_b
-    if 100 * len(i) < percent * (2 * least - len(i)):
-        return []
-    moves, found = j - i, []
-    kinds = [int(m) for m in np.unique(moves) if abs(m - (cb - ca)) <= slack]
-    for first in kinds:
-        starts = i[moves == first]
+
+    def __init__(self, a: np.ndarray, b: np.ndarray, least: int, percent: int):
+        self.least, self.percent, self.slack = least, percent, least * (100 - percent) // percent
+        kinds, of = np.unique(np.concatenate((a, b)), return_inverse=True)
+        both = np.bincount(of[: len(a)], minlength=len(kinds)).astype(bool)
+        both &= np.bincount(of[len(a):], minlength=len(kinds)).astype(bool)
+        self.at = np.full(len(kinds), -1)  # scratch: the place of a kind in b
+        self.a, self.b = (self._places(part, both) for part in (of[: len(a)], of[len(a):]))
+
+    @staticmethod
+    def _places(kinds: np.ndarray, both: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
+        """Places whose item the other text has too, their kinds, the places before with the same kind or -1."""
+        place = np.flatnonzero(both[kinds])
+        kind = kinds[place]
+        order = np.argsort(kind, kind="stable")
+        again = kind[order[1:]] == kind[order[:-1]]
+        before = np.full(len(place), -1)
+        before[order[1:][again]] = place[order[:-1][again]]
+        return place, kind, before, place.tolist()
+
+    def _part(self, text: tuple, low: int, high: int) -> tuple[np.ndarray, np.ndarray] | None:
+        """Kinds and their first places from ``low`` to ``high``, or nothing where they are too few."""
+        place, kind, before, listed = text
+        first, last = bisect_left(listed, low), bisect_left(listed, high)
+        if 100 * (last - first) < self.percent * (2 * self.least - last + first):
+            return None
+        new = before[first:last] < low
+        return place[first:last][new], kind[first:last][new]
+
+    def around(self, ca: int, cb: int) -> list[tuple[int, int, int, int]]:
+        """Passages around a pair of places: start and end in ``a``, start and end in ``b``.
+
+        A passage has ``least`` items in one text and as many or more in the other, and starts and
+        ends with something that both have. Words put in or left out move its end, or its start.
+        """
+        least, percent, slack = self.least, self.percent, self.slack
+        reach = least + slack - 1
+        from_a, from_b = max(0, ca - reach), max(0, cb - reach)
+        part_a, part_b = self._part(self.a, from_a, ca + reach + 1), self._part(self.b, from_b, cb + reach + 1)
+        if part_a is None or part_b is None:
+            return []
+        self.at[part_b[1]] = part_b[0]
+        j = self.at[part_a[1]]
+        self.at[part_b[1]] = -1
+        same = j >= 0
+        i, j = part_a[0][same], j[same]
+        if 100 * len(i) < percent * (2 * least - len(i)):
+            return []
+        moves, found = j - i, []
+        kinds = [m for m in sorted(set(moves.tolist())) if abs(m - (cb - ca)) <= slack]
+        starts = {m: i[moves == m] for m in kinds}
+        ends = {}
         for last in kinds:
-            if abs(last - first) > slack:
-                continue
-            size_a, size_b = least + max(0, first - last), least + max(0, last - first)
-            start = starts[np.isin(starts + size_a - 1, i[moves == last])]
-            if not len(start):
-                continue
-            inside = ((i >= start[:, None]) & (i < start[:, None] + size_a)
-                      & (j >= start[:, None] + first) & (j < start[:, None] + first + size_b)).sum(1)
-            good = np.sort(start[100 * inside >= percent * (size_a + size_b - inside)])
-            if len(good):
-                cuts = np.flatnonzero(np.diff(good) > least) + 1
-                for run in np.split(good, cuts):
-                    low, high = int(run[0]), int(run[-1])
-                    found.append((low, high + size_a, low + first, high + first + size_b))
-    return found
-
-
-def alike(a: np.ndarray, b: np.ndarray) -> int:
-    """How many items ``a`` and ``b`` start with alike."""
-    n, done, step = min(len(a), len(b)), 0, 64
-    while done < n:
-        other = a[done: min(n, done + step)] != b[done: min(n, done + step)]
-        first = int(other.argmax())
-        if other[first]:
-            return done + first
-        done, step = done + step, 4 * step
-    return n
+            ends[last] = np.zeros(ca + reach + least + slack + 2 - from_a, bool)
+            ends[last][starts[last] - from_a] = True
+        for first in kinds:
+            for last in kinds:
+                if abs(last - first) > slack:
+                    continue
+                size_a, size_b = least + max(0, first - last), least + max(0, last - first)
+                start = starts[first]
+                start = start[ends[last][start + (size_a - 1 - from_a)]]
+                if not len(start):
+                    continue
+                from_i, from_j = i - start[:, None], j - start[:, None] - first
+                inside = ((from_i >= 0) & (from_i < size_a) & (from_j >= 0) & (from_j < size_b)).sum(1)
+                good = start[100 * inside >= percent * (size_a + size_b - inside)]
+                if len(good):
+                    cuts = (np.flatnonzero(good[1:] - good[:-1] > least) + 1).tolist()
+                    for low, high in zip([0, *cuts], [*cuts, len(good)]):
+                        low, high = int(good[low]), int(good[high - 1])
+                        found.append((low, high + size_a, low + first, high + first + size_b))
+        return found
+
+
+def near_windows(a: np.ndarray, b: np.ndarray, ca: int, cb: int, least: int, percent: int) -> list[tuple[int, int, int, int]]:
+    """Passages around a pair of places that overlap by ``percent``: start and end in ``a``, start and end in ``b``."""
+    return Near(a, b, least, percent).around(ca, cb)
+
+
+def alike_around(a: np.ndarray, b: np.ndarray, ca: np.ndarray, cb: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For pairs of places with the same item: where in ``a`` the items around them that are alike start and end."""
+    low, high = np.empty_like(ca), np.empty_like(ca)
+    moves = cb - ca
+    for d in set(moves.tolist()):
+        at = np.flatnonzero(moves == d)
+        begin, end = max(0, -d), min(len(a), len(b) - d)
+        other = np.concatenate(([begin - 1], np.flatnonzero(a[begin:end] != b[begin + d: end + d]) + begin, [end]))
+        after = np.searchsorted(other, ca[at])
+        low[at], high[at] = other[after - 1] + 1, other[after]
+    return low, high
 
 
 def _compare(least: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            seeds = batch.column("seeds")
-            cuts = seeds.offsets.to_pylist()
-            seed_a, seed_b, lefts, rights = (seeds.values.field(k).to_pylist() for k in ("ca", "cb", "lb", "rb"))
-            for row in range(len(batch)):
+            spans, parted = [], []
+            cuts = batch.column("ca").offsets.to_pylist()
+            seeds = [batch.column(k).values.to_numpy().astype(np.int64) for k in ("ca", "cb", "lb", "rb")]
+            for row, (na, nb) in enumerate(zip(batch.column("a").to_pylist(), batch.column("b").to_pylist())):
                 a = np.frombuffer(batch.column("items_a")[row].as_buffer(), np.uint32)
                 b = np.frombuffer(batch.column("items_b")[row].as_buffer(), np.uint32)
-                na, nb = batch.column("a")[row].as_py(), batch.column("b")[row].as_py()
-                covered: list[tuple[int, int]] = []
-                runs: set[tuple[int, int]] = set()
+                ca, cb, lefts, rights = (s[cuts[row]: cuts[row + 1]] for s in seeds)
+                real = a[ca] == b[cb]  # else only their keys are equal
+                ca, cb = ca[real], cb[real]
+                # where b parts from a inside the windows of the seed: what b shares with others beyond, they part at alike
+                firsts, lasts = np.maximum(0, cb - lefts[real]), np.minimum(len(b) - 1, cb + rights[real])
+                lows, highs = alike_around(a, b, ca, cb)
+                common = None
+                covered: set[tuple[int, int]] = set()
+                shared: dict[tuple[int, int, int, int], None] = {}
+                tried: set[tuple[int, int]] = set()
                 partings: dict[tuple[int, int, int], tuple[int, int]] = {}
-                for at in range(cuts[row], cuts[row + 1]):
-                    ca, cb = seed_a[at], seed_b[at]
-                    if a[ca] != b[cb]:
-                        continue  # only their keys are equal
-                    d = cb - ca
-                    low, high = ca - alike(a[:ca][::-1], b[:cb][::-1]), ca + alike(a[ca:], b[cb:])
-                    # where b parts from a inside the windows of the seed: what b shares with others beyond, they part at alike
-                    first, last = max(0, cb - lefts[at]), min(len(b) - 1, cb + rights[at])
+                for at_a, at_b, low, high, first, last in zip(*(x.tolist() for x in (ca, cb, lows, highs, firsts, lasts))):
+                    d = at_b - at_a
                     for side, place in ((1, high), (2, low - 1)):
-                        begin, end = max(first, max(cb, place + d) - least + 1), min(last, min(cb, place + d) + least - 1)
-                        if first <= place + d <= last and end - begin + 1 >= least:
-                            known = partings.get((d, side, place), (begin, end))
-                            partings[d, side, place] = min(begin, known[0]), max(end, known[1])
+                        here = place + d
+                        if not first <= here <= last:
+                            continue
+                        begin, end = max(first, max(at_b, here) - least + 1), min(last, min(at_b, here) + least - 1)
+                        if end - begin + 1 >= least:
+                            known = partings.get((d, side, place))
+                            partings[d, side, place] = (min(begin, known[0]), max(end, known[1])) if known else (begin, end)
                     if high - low >= least:
-                        near = [] if (d, low) in runs else [(low, high, low + d, high + d)]
-                        runs.add((d, low))
-                    elif any(s <= first and last < e for s, e in covered):
+                        near = [(low, high, low + d, high + d)]
+                    elif na == nb or (at_a, at_b) in tried or any(s <= first and last < e for s, e in covered):
                         continue  # all that the seed can show
                     else:
-                        near = near_windows(a, b, ca, cb, least, percent) if na != nb else []
-                    for start_a, end_a, start_b, end_b in near:
-                        covered.append((start_b, end_b))
-                        out.append((na, nb, start_a, end_a + SHINGLE - 1, start_b, end_b + SHINGLE - 1) + (None,) * 5)
-                for (d, side, place), (begin, end) in partings.items():
-                    parting = np.array([na & (2 ** 64 - 1), side, place + 1, int(b[place + d])], np.uint64)
-                    key = int(shingles(parting, 4)[:1].view(np.int64)[0])
-                    out.append((None,) * 6 + (key, nb, place + d, place + d - begin, end - place - d))
-            names = ["a", "b", "start_a", "end_a", "start_b", "end_b", "key", "node", "place", "left", "right"]
-            types = [pa.int64() if n in ("a", "b", "key", "node") else pa.int8() if n in ("left", "right") else pa.int32()
-                     for n in names]
-            columns = list(zip(*out)) if out else [()] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+                        tried.add((at_a, at_b))
+                        common = common or Near(a, b, least, percent)
+                        near = common.around(at_a, at_b)
+                    for found in near:
+                        covered.add(found[2:])
+                        shared[found] = None
+                spans += [(na, nb, s, e + SHINGLE - 1, t, f + SHINGLE - 1) for s, e, t, f in shared]
+                parted += [(na, nb, side, place + 1, place + d, int(b[place + d]), place + d - begin, end - place - d)
+                           for (d, side, place), (begin, end) in partings.items()]
+            yield _found(spans, 0)
+            if parted:
+                na, nb, side, place, here, item, left, right = (np.array(c, np.int64) for c in zip(*parted))
+                rows = np.stack((na, side, place, item), 1).astype(np.uint64).ravel()
+                yield _found(list(zip(shingles(rows, 4)[::4].view(np.int64).tolist(), *(c.tolist() for c in (nb, here, left, right)))), 6)
     return run
 
 
+def _found(rows: list[tuple], at: int) -> pa.RecordBatch:
+    """Rows of ``FOUND`` with these columns from the given one on, and no others."""
+    fields = [f.rsplit(" ", 1) for f in FOUND.split(", ")]
+    types = [{"long": pa.int64(), "int": pa.int32(), "tinyint": pa.int8()}[t] for _, t in fields]
+    given = dict(enumerate(zip(*rows), at))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(given[k], t) if k in given else pa.nulls(len(rows), t) for k, t in enumerate(types)], names=[f.strip() for f, _ in fields])
+
+
 def longest(spans: DataFrame, by: list[str]) -> DataFrame:
     """The spans ``start``, ``end`` of each group that lie in no other one of it."""
     before = Window.partitionBy(*by).orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
@@ -244,22 +320,23 @@ def repeated_passages(
     while True:
         # counted first: that exchange of all windows is of keys and small numbers, nodes go only with keys found twice
         again = stored(windows.groupBy("key").count().where("count > 1").select("key"), "keys-again")
-        members = stored(semi_join(windows, again, "key"), "members")
-        keys = stored(members.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z"))
-                      .where("a <> z").select("key", "a"), "keys")
-        if keys.isEmpty():
-            break
-        if items is None:
-            needed = semi_join(members, keys.select("key"), "key").select("node").distinct().join(classes, "node").select("id")
-            items = stored(semi_join(plain, stored(needed.distinct(), "needed"), "id").mapInArrow(
-                _items, "node long, items binary"), "items")
-        led = members.join(keys, "key")
-        centres = led.where("node = a").groupBy("key").agg(F.min("place").alias("ca"))
+        # members move once: their order by node and place tells the centre of their key
+        by_key = Window.partitionBy("key").orderBy("node", "place", "left", "right").rowsBetween(
+            Window.unboundedPreceding, Window.unboundedFollowing)
+        led = semi_join(windows, again, "key").select(
+            "*", F.first("node").over(by_key).alias("a"), F.first("place").over(by_key).alias("ca"), F.last("node").over(by_key).alias("z"))
         # the centre's further places are members like those of others
-        seeds = (led.join(centres, "key").where("node <> a or place <> ca")
+        seeds = (led.where("a <> z and (node <> a or place <> ca)")
                  .select("a", F.col("node").alias("b"), F.struct(
                      "key", "ca", F.col("place").alias("cb"), F.col("left").alias("lb"), F.col("right").alias("rb")).alias("seed"))
                  .groupBy("a", "b").agg(F.sort_array(F.collect_set("seed")).alias("seeds")))  # at most b's windows
+        seeds = stored(seeds.select("a", "b", *(F.col(f"seeds.{k}").alias(k) for k in ("ca", "cb", "lb", "rb"))), "keys")
+        if seeds.isEmpty():
+            break
+        if items is None:
+            needed = seeds.select(F.col("a").alias("node")).union(seeds.select("b")).distinct().join(classes, "node").select("id")
+            items = stored(semi_join(plain, stored(needed, "needed"), "id").mapInArrow(
+                _items, "node long, items binary"), "items")
         found = stored(seeds.join(items.select(F.col("node").alias("a"), F.col("items").alias("items_a")), "a")
                        .join(items.select(F.col("node").alias("b"), F.col("items").alias("items_b")), "b")
                        .mapInArrow(_compare(least, percent), FOUND), "found")

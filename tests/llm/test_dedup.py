@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from namewire.llm import minhash, neighbours, passages
@@ -238,3 +239,65 @@ def test_passages_count_keys_before_their_nodes_travel(spark, monkeypatch):
     first = [(columns, n) for label, columns, n in labels if label == "keys-again"][0]
     assert first[0] == ["key"] and first[1] > 0
     assert [n for label, _, n in labels if label == "keys"] == [0]
+
+
+def test_near_looks_up_what_two_texts_share_once():
+    """Against the definition, with items that a text has several times."""
+    least, percent = 10, 80
+    slack = least * (100 - percent) // percent
+    some = 0
+    for case in range(40):
+        draw = random.Random(case)
+        b = [draw.randrange(12 + 40 * (case % 3)) for _ in range(60)]
+        a = list(b)
+        for _ in range(6):
+            at = draw.randrange(len(a))
+            a[at: at + draw.randrange(2)] = [draw.randrange(50)] * draw.randrange(2)
+        a, b = np.array(a, np.uint32), np.array(b, np.uint32)
+        pairs = [(i, j) for i in range(len(a)) for j in range(len(b)) if a[i] == b[j]]
+        near, ca, cb = passages.Near(a, b, least, percent), *(np.array(x) for x in zip(*pairs))
+        for (i, j), low, high in zip(pairs, *passages.alike_around(a, b, ca, cb)):
+            assert (a[low:high] == b[low + j - i: high + j - i]).all() and low <= i < high
+            assert low == 0 or low + j - i == 0 or a[low - 1] != b[low + j - i - 1]
+            assert high == len(a) or high + j - i == len(b) or a[high] != b[high + j - i]
+            reach = least + slack - 1
+            first_a, first_b = {}, {}
+            for first, text, at in ((first_a, a, i), (first_b, b, j)):
+                for k in range(max(0, at - reach), min(len(text), at + reach + 1)):
+                    first.setdefault(int(text[k]), k)
+            shared = {first_a[k]: first_b[k] for k in first_a.keys() & first_b.keys()}
+            wanted = set()
+            for start, from_b in shared.items():
+                for last, to_b in shared.items():
+                    m, n = last + 1 - start, to_b + 1 - from_b
+                    if (abs(from_b - start - j + i) <= slack and abs(to_b - last - j + i) <= slack and min(m, n) == least
+                            and max(m, n) <= least + slack):
+                        inside = sum(start <= x <= last and from_b <= y <= to_b for x, y in shared.items())
+                        if 100 * inside >= percent * (m + n - inside):
+                            wanted |= {(x, from_b - start, n - m) for x in range(start, last + 1)}
+            got = near.around(i, j)
+            some += len(got)
+            assert {(x, t - s, f - t - e + s) for s, e, t, f in got for x in range(s, e)} >= wanted and bool(got) == bool(wanted)
+            assert got == passages.near_windows(a, b, i, j, least, percent)
+    assert some > 1000
+
+
+def test_spans_leave_the_comparison_once(spark, monkeypatch):
+    """Two orders of shingles show the same span again; members go through one exchange by their key."""
+    found, plans = [], []
+    real = passages.stored
+
+    def seen(df, label, *args):
+        if label == "keys":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        out = real(df, label, *args)
+        if label == "found":
+            found.extend(tuple(r) for r in out.where("a is not null").collect())
+        return out
+
+    monkeypatch.setattr(passages, "stored", seen)
+    words = prose(5, 70, 10 ** 9).split()
+    texts = [(k, " ".join([prose(10 + k, 60), *words[:35], f"edit{k}", *words[35:], prose(20 + k, 60)])) for k in range(6)]
+    assert passages.repeated_passages(spark.createDataFrame(texts, "doc_id long, text string")).count() == 6
+    assert found and len(found) == len(set(found))
+    assert plans and all(p.split("Initial Plan")[0].count("hashpartitioning(key") == 1 for p in plans)

@@ -19,19 +19,23 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from namewire.llm.base import released, stored, table
+from namewire.llm.words import slices
 from namewire.session import scratch_path
 
 SEEK_MAGIC, TABLE_FRAME, IDS_FRAME = 0x8F92EAB1, 0x184D2A5E, 0x184D2A50
 CHECKSUMS = 0x80  # descriptor bit: entries carry checksums
 CACHED_WORDS = 300_000
-# where a stop or comma before white space may be one symbol with what precedes it
-APART = re.compile(rb"[^0-9a-z\x80-\xbf][.,][ \n]|[\xc2\xc4-\xff]|\xc3[\x97\xb7]")
+ENCODED_BYTES = 1 << 22  # of texts at a time
+SPACE, WORD = np.zeros(256, bool), np.zeros(256, bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
+WORD[[*range(48, 58), *range(97, 123)]] = True
 # a word of a-z and letters of Latin-1, perhaps with a full stop or comma
 PLAIN = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,]?)")
 
@@ -56,60 +60,101 @@ def word_encoder(path: str, width: int = 2) -> Callable[[list[bytes]], list[byte
     Texts are UTF-8. A text in which a special token may stand is encoded as it is.
     """
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallelism
-    from tokenizers import Tokenizer
+    from tokenizers import Tokenizer, pre_tokenizers
 
     tokenizer = Tokenizer.from_file(path)
+    # words of a-z alone, lower-cased: its normalizer and its pattern leave them as they are
+    letters = Tokenizer(tokenizer.model)
+    letters.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
     size = tokenizer.get_vocab_size()
     if size > 1 << 8 * width:
         raise ValueError(f"ids of {path} need more than {width} bytes")
     kind = f"<u{width}"
     closing = np.array([(tokenizer.id_to_token(k) or "").endswith("</w>") for k in range(size)])
-    cache: dict[bytes, bytes] = {}  # of one task: over tasks it saves nothing, as most words that are looked up are common
+    cache: dict[bytes, int] = {}  # of one task: over tasks it saves nothing, as most words that are looked up are common
+    known: list[bytes] = []
 
     def ids_of(pieces: list[str]) -> list[bytes]:
         return [np.array(e.ids, kind).tobytes() for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
+    def keep(words: list[bytes], ids: list[bytes]) -> None:
+        cache.update(zip(words, range(len(known), len(known) + len(words))))
+        known.extend(ids)
+
     marks = dict(zip((b"", b".", b","), ids_of(["", ".", ","])))
 
-    def learn(new: set[bytes]) -> None:
-        plain = [w for w in new if w.isalpha()]  # a-z only: most of them
-        found = {w: PLAIN.fullmatch(w) for w in new.difference(plain)}
-        stems = list({m[1] for m in found.values() if m}.union(plain) - cache.keys())
-        for low in range(0, len(stems), 4096):
-            part = stems[low: low + 4096]
-            ids = np.array(tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, kind)
-            ends = ((np.flatnonzero(closing[ids]) + 1) * width).tolist()
-            if len(ends) == len(part):
-                raw = ids.tobytes()
-                cache.update(zip(part, [raw[i:j] for i, j in zip([0, *ends], ends)]))
-            else:
-                cache.update(zip(part, ids_of([w.decode() for w in part])))
-        cache.update((w, cache[m[1]] + marks[m[2]]) for w, m in found.items() if m)
+    def learn(new: list[bytes]) -> None:
+        found = {w: PLAIN.fullmatch(w) for w in new if not w.isalpha()}
+        stems = {m[1] for m in found.values() if m}.union(filter(bytes.isalpha, new)) - cache.keys()
+        plain = list(filter(bytes.isalpha, stems))  # a-z only: most of them
+        stems = list(stems.difference(plain))
+        for words, by in ((plain, letters), (stems, tokenizer)):
+            for low in range(0, len(words), 4096):
+                part = words[low: low + 4096]
+                ids = np.array(by.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, kind)
+                ends = ((np.flatnonzero(closing[ids]) + 1) * width).tolist()
+                if len(ends) == len(part):
+                    raw = ids.tobytes()
+                    keep(part, [raw[i:j] for i, j in zip([0, *ends], ends)])
+                else:
+                    keep(part, ids_of([w.decode() for w in part]))
+        ended = [(w, m) for w, m in found.items() if m and m[2]]
+        keep([w for w, _ in ended], [known[cache[m[1]]] + marks[m[2]] for _, m in ended])
         others = [w for w, m in found.items() if not m]
-        cache.update(zip(others, ids_of([w.decode() for w in others])))
-
-    def split_of(text: bytes) -> list[bytes] | None:
-        if b"<|" in text:
-            return None
-        text = text.lower()
-        if not APART.search(text):
-            text = text.replace(b", ", b" , ").replace(b". ", b" . ").replace(b".\n", b" .\n")
-        return text.split()
-
-    def encode(texts: list[bytes]) -> list[bytes]:
-        split = [split_of(t) for t in texts]
-        words = set().union(*(s for s in split if s))
-        new = words - cache.keys()
+        keep(others, ids_of([w.decode() for w in others]))
+
+    def encode_part(texts: list[bytes]) -> list[bytes]:
+        """Words are found on the bytes of all texts, and each different one is looked up once."""
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+        edges = np.r_[0, np.cumsum(lengths)]
+        data = np.frombuffer(b"".join(texts).lower(), np.uint8)
+        inside = ~SPACE[data]
+        starts, ends = word_edges(data, inside, edges)
+        cuts = np.r_[0, np.cumsum(ends - starts)].astype(np.int32)
+        column = pa.Array.from_buffers(
+            pa.binary(), len(starts), [None, pa.py_buffer(cuts), pa.py_buffer(data[inside])]).dictionary_encode()
+        words = column.dictionary.to_pylist()
+        new = [w for w in words if w not in cache]
         if len(cache) + len(new) > CACHED_WORDS:
-            kept = {w: cache[w] for w in words if w in cache}
+            kept = [(w, known[cache[w]]) for w in words if w in cache]
             cache.clear()
-            cache.update(kept)
+            known.clear()
+            keep([w for w, _ in kept], [ids for _, ids in kept])
         learn(new)
-        return [ids_of([t.decode()])[0] if s is None else b"".join(map(cache.__getitem__, s)) for t, s in zip(texts, split)]
+        ids = [known[cache[w]] for w in words]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // width
+        flat, begin = np.frombuffer(b"".join(ids), kind), np.cumsum(sizes) - sizes
+        words = column.indices.to_numpy()
+        sizes, begin = sizes[words], begin[words]
+        after = np.r_[0, np.cumsum(sizes)]
+        out = flat[np.repeat(begin - after[:-1], sizes) + np.arange(after[-1])].tobytes()
+        at = (after[np.searchsorted(starts, edges)] * width).tolist()
+        return [out[i:j] for i, j in zip(at, at[1:])]
+
+    def encode(texts: list[bytes]) -> list[bytes]:
+        plain = iter(encode_part([t for t in texts if b"<|" not in t]))
+        return [ids_of([t.decode()])[0] if b"<|" in t else next(plain) for t in texts]
 
     return encode
 
 
+def word_edges(data: np.ndarray, inside: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words of lower-cased texts that lie between ``edges``; ``inside`` is where no white space is.
+
+    A full stop or comma before white space or the end is a word of its own after a-z, a digit or a
+    letter of Latin-1, as the tokenizer takes it; after others it may be one symbol with them.
+    """
+    before, after = np.r_[False, inside[:-1]][: len(data)], np.r_[inside[1:], False][: len(data)]
+    begin = np.zeros(len(data) + 1, bool)  # a word that is here starts here, whatever is before it
+    begin[edges] = True
+    at = np.flatnonzero(((data == 46) | (data == 44)) & (~after | begin[1:]))
+    at = at[at > 1]
+    one, two = data[at - 1], data[at - 2]
+    alone = WORD[one] | ((two == 0xC3) & (one >= 0x80) & (one <= 0xBF) & (one != 0x97) & (one != 0xB7))
+    begin[at[alone]] = True
+    return np.flatnonzero(inside & (~before | begin[:-1])), np.flatnonzero(inside & (~after | begin[1:])) + 1
+
+
 def write_file(file: pa.NativeFile, documents: Iterator[tuple[int | None, bytes]]) -> tuple[int, int]:
     """Write frames, ids and the seek table; returns the number of documents and of bytes of ids."""
     compress = zstandard.ZstdCompressor(level=1).compress
@@ -168,10 +213,11 @@ def _encode(path: str, end_id: int, width: int, cuts: list[int]):
             # the number of cuts below an id; rows without an id come before all others
             known = batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
             shards = np.searchsorted(edges, batch.column("doc_id").fill_null(0).to_numpy()) * known
-            for low in range(0, len(column), 256):
-                part = [ids + end for ids in encode([t or b"" for t in column.slice(low, 256).to_pylist()])]
+            offsets = np.r_[0, np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))]
+            for low, high in slices(offsets, ENCODED_BYTES):
+                part = [ids + end for ids in encode([t or b"" for t in column.slice(low, high - low).to_pylist()])]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(low, 256), pa.array(shards[low: low + 256], pa.int32()),
+                    [batch.column("doc_id").slice(low, high - low), pa.array(shards[low:high], pa.int32()),
                      pa.array(part, pa.binary())], names=["doc_id", "shard", "ids"])
     return run
 

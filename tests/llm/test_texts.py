@@ -1,5 +1,6 @@
 import hashlib
 import io
+import random
 import re
 import time
 import zlib
@@ -311,3 +312,22 @@ def test_mixing_awkward(spark, awkward, nothing):
     assert picked.count() == awkward.count() - 4  # rows of leaves without tokens
     assert picked.agg(F.sum("tokens_taken")).first()[0] == picked.agg(F.sum("tokens")).first()[0]
     assert mixing.mix(nothing, {"language": "lang"}, [{}], F.lit(10)).count() == 0
+
+
+def test_words_are_cut_on_bytes():
+    """Stops and commas are words of their own only where the tokenizer takes them so; ids are those of whole texts."""
+    texts = [b"", b"one, two.\tx", b". a.", "\u00e9. \u00d7. \u00aa, 7,\n".encode(), b"!. a.b a.. "]
+    data = np.frombuffer(b"".join(texts).lower(), np.uint8)
+    edges = np.r_[0, np.cumsum([len(t) for t in texts])]
+    starts, ends = packing.word_edges(data, ~packing.SPACE[data], edges)
+    assert [bytes(data[i:j]).decode() for i, j in zip(starts, ends)] == [
+        "one", ",", "two", ".", "x", ".", "a", ".", "\u00e9", ".", "\u00d7.", "\u00aa,", "7", ",", "!.", "a.b", "a.."]
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    draw, whole = random.Random(3), Tokenizer.from_file(path)
+    marks = [*"aabcde ..,, \n\t!?'-0\u00e9\u00c9\u00d7\u00c0\u0141\u6f22\u0130\u03a3\u0301\u00a0", "'s", ". ", ", ", "<|endoftext|>"]
+    texts = ["".join(draw.choices(marks, k=draw.randrange(40))) for _ in range(2000)]
+    wanted = [np.array(whole.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
+    for step in (1, 700):
+        encode = packing.word_encoder(path)
+        assert [ids for k in range(0, 2000, step) for ids in encode([t.encode() for t in texts[k: k + step]])] == wanted

@@ -8,8 +8,10 @@ from pyspark.sql import Observation, functions as F
 
 from conftest import article, rows
 from namewire.operators.bounded import bounded_topk, buffer_state
+from namewire.operators.names import name_counts, names_by_date
 from namewire.operators.rows import quality_rows, row_quality
 from namewire.plans.daily import daily_top_names
+from namewire.sinks import days
 from namewire.sinks.days import add_segments, read_days
 from namewire.sources.articles import read_articles
 from namewire.streaming.buffer import live_bounded_topk
@@ -63,6 +65,23 @@ def test_days_are_kept_up_to_date(spark, tmp_path):
     assert add_segments(everything.limit(0), root) == []
 
 
+def test_merged_counts_are_written_once(spark, tmp_path, monkeypatch):
+    made = []
+    path = days.scratch_path
+    monkeypatch.setattr(days, "scratch_path", lambda session, label: made.append(label) or path(session, label))
+    weights = []
+    by_date = days.names_by_date
+    monkeypatch.setattr(days, "names_by_date", lambda *a, **b: weights.append(b.get("weight")) or by_date(*a, **b))
+    root = str(tmp_path / "steps")
+    add_segments(segment_lines(spark, [0, 1, 2, 4]), root, k=3)
+    add_segments(segment_lines(spark, [2, 3, 5]), root, k=3)
+    assert made == ["new-counts"] * 2 and None not in weights
+    store = spark.read.schema(days.COUNTS).parquet(f"{root}/counts")
+    once = segment_lines(spark, range(6)).select("segment", "value")
+    every = name_counts(names_by_date(once, keep=["segment"]), ["publish_date", "segment", "name"])
+    assert rows(store) == rows(every.select(*store.columns))
+
+
 def test_quality_in_the_same_pass(spark, tmp_path):
     lines = segment_lines(spark, range(3)).select("value").unionByName(spark.createDataFrame(
         [(article("0", "Ann,1"),), (article("20240105120000", ""),), (None,), ("",)], "value string"))
